@@ -58,15 +58,14 @@ def _effective(actions: DataFrame) -> DataFrame:
     )
 
 
-def _one_close(prices: DataFrame) -> DataFrame:
-    """The close of a symbol and day: preferred series first, then by series name."""
+def _one_close(prices: DataFrame, group: list[str]) -> DataFrame:
+    """One close per symbol and day: preferred series first, then by series name."""
     rank = F.lit(len(SERIES_PRIORITY))
     for place, series in reversed(list(enumerate(SERIES_PRIORITY))):
         rank = F.when(F.col("SERIES") == series, F.lit(place)).otherwise(rank)
     order = F.struct(rank, F.col("SERIES"), -F.coalesce(F.col("CLOSE_PRICE"), F.lit(0.0)))
-    return prices.groupBy("SYMBOL", "DATE1").agg(
-        F.min_by(F.struct("CLOSE_PRICE"), order)["CLOSE_PRICE"].alias("close")
-    )
+    first = F.min_by(F.struct("CLOSE_PRICE"), order)
+    return prices.groupBy(*group).agg(first["CLOSE_PRICE"].alias("close"))
 
 
 def _event_multipliers(acts: DataFrame, closes: DataFrame) -> DataFrame:
@@ -141,17 +140,15 @@ def previous_trade_dates(prices: DataFrame, events: DataFrame, broadcast: bool)
 
 def previous_closes(prices: DataFrame, events: DataFrame, broadcast: bool) -> DataFrame:
     """The close on the last trade date before each ex-date: symbol, ex_date, prev_close."""
-    dates = previous_trade_dates(prices, events, broadcast)
-    wanted = dates.select(F.col("symbol").alias("SYMBOL"), F.col("trade_date").alias("DATE1"))
+    dates = previous_trade_dates(prices, events, broadcast).withColumnRenamed("symbol", "symbol_")
     narrow = prices.select("SYMBOL", "SERIES", "DATE1", "CLOSE_PRICE")
+    on_date = (F.col("SYMBOL") == F.col("symbol_")) & (F.col("DATE1") == F.col("trade_date"))
     if broadcast:
-        # At most one day per event, so few rows are left to aggregate.
-        narrow = narrow.join(F.broadcast(wanted), ["SYMBOL", "DATE1"], "left_semi")
-    closes = _one_close(narrow)
-    return dates.join(
-        closes.select(F.col("SYMBOL").alias("symbol"), F.col("DATE1").alias("trade_date"), "close"),
-        ["symbol", "trade_date"],
-    ).select(*EVENT, F.col("close").alias("prev_close"))
+        # Few rows match: those of one day per event.
+        closes = _one_close(narrow.join(F.broadcast(dates), on_date), ["symbol_", "ex_date"])
+    else:
+        closes = _one_close(narrow, ["SYMBOL", "DATE1"]).join(dates, on_date)
+    return closes.select(F.col("symbol_").alias("symbol"), "ex_date", F.col("close").alias("prev_close"))
 
 
 def _with_adjusted(prices: DataFrame, factor: Column) -> list[Column]:
@@ -180,8 +177,8 @@ def adjusted_prices(
     if dedupe_actions:
         actions = unique_actions(actions)
     acts = _effective(actions)
-    events = acts.select(*EVENT).distinct()
-    small = fits_broadcast(events, "symbol", broadcast_bytes // 2, matches_per_key)
+    # Each action makes at most one step, so the actions bound what is broadcast.
+    small = fits_broadcast(acts.select(*EVENT), "symbol", broadcast_bytes, matches_per_key)
 
     paying = acts.where(F.col("cash").isNotNull()).select(*EVENT).distinct()
     multipliers = _event_multipliers(acts, previous_closes(prices, paying, small))

@@ -31,18 +31,19 @@ class Tables:
     def actions(self) -> DataFrame:
         return ops.parse_actions(self.ca_raw, ex_date="EX_DATE")
 
+    # Keep-first by key also drops equal rows, so no row dedup comes before it.
     @property
     def legacy(self) -> DataFrame:
-        return ops.normalize_legacy(self.legacy_raw)
+        return ops.normalize_legacy(self.legacy_raw, distinct=False)
 
     @property
     def delivery(self) -> DataFrame:
-        return ops.normalize_delivery(self.delivery_raw)
+        return ops.normalize_delivery(self.delivery_raw, distinct=False)
 
     @property
     def full(self) -> DataFrame:
         """Full-format rows with a readable date."""
-        return ops.normalize_full(self.full_raw).where(F.col("DATE1").isNotNull())
+        return ops.normalize_full(self.full_raw, distinct=False).where(F.col("DATE1").isNotNull())
 
     @property
     def deals(self) -> DataFrame:
@@ -167,12 +168,12 @@ def price_actions(t: Tables) -> DataFrame:
 
 @query
 def normalize_legacy(t: Tables) -> DataFrame:
-    return t.legacy
+    return ops.normalize_legacy(t.legacy_raw)
 
 
 @query
 def normalize_delivery(t: Tables) -> DataFrame:
-    return t.delivery
+    return ops.normalize_delivery(t.delivery_raw)
 
 
 @query
@@ -192,7 +193,7 @@ def clean_exchange_bse(t: Tables) -> DataFrame:
 
 @query
 def merge_delivery(t: Tables) -> DataFrame:
-    return ops.merge_delivery(t.legacy, t.delivery)
+    return ops.merge_delivery(ops.normalize_legacy(t.legacy_raw), ops.normalize_delivery(t.delivery_raw))
 
 
 @query
