@@ -1,0 +1,22 @@
+"""Writers of stored tables, exports and reports."""
+
+from barloom.sinks.exports import append_report, comparison_path, export_csv, export_histories
+from barloom.sinks.tables import (
+    append_ignore,
+    append_prices,
+    create_if_absent,
+    replace_table,
+    write_prices,
+)
+
+__all__ = [
+    "append_ignore",
+    "append_prices",
+    "append_report",
+    "comparison_path",
+    "create_if_absent",
+    "export_csv",
+    "export_histories",
+    "replace_table",
+    "write_prices",
+]

@@ -1,0 +1,35 @@
+"""Readers of raw files, lists and stored tables."""
+
+from barloom.sources.files import layouts, read_csv_by_name
+from barloom.sources.history import read_histories
+from barloom.sources.lists import (
+    drop_blank_rows,
+    read_actions,
+    read_bulk_deals,
+    read_securities,
+    read_security_list,
+)
+from barloom.sources.prices import (
+    read_bse_prices,
+    read_delivery,
+    read_full_prices,
+    read_legacy_prices,
+)
+from barloom.sources.tables import read_action_table, read_prices
+
+__all__ = [
+    "drop_blank_rows",
+    "layouts",
+    "read_action_table",
+    "read_actions",
+    "read_bse_prices",
+    "read_bulk_deals",
+    "read_csv_by_name",
+    "read_delivery",
+    "read_full_prices",
+    "read_histories",
+    "read_legacy_prices",
+    "read_prices",
+    "read_securities",
+    "read_security_list",
+]
