@@ -11,7 +11,7 @@ from barloom.functions import strip
 def _read_list(spark: SparkSession, path: str) -> DataFrame:
     """All-text columns under their stripped header names."""
     df = spark.read.options(header=True, multiLine=False, escape='"').csv(path)
-    return df.toDF(*[c.strip().lstrip("﻿") for c in df.columns])
+    return df.toDF(*[c.strip().lstrip("\ufeff") for c in df.columns])
 
 
 def read_actions(spark: SparkSession, path: str) -> DataFrame:

@@ -61,8 +61,7 @@ def read_delivery(spark: SparkSession, paths: Paths, by_line: bool = False) -> D
         lines = reader.text(paths).select(F.col("value").alias("line"), file_name().alias(SOURCE_FILE))
     else:
         lines = (
-            reader.option("wholetext", True)
-            .text(paths)
+            reader.text(paths, wholetext=True)
             .select(
                 F.posexplode(F.split("value", "\r\n|\n|\r")).alias("position", "line"),
                 file_name().alias(SOURCE_FILE),
