@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom import schemas as S
-from barloom.functions import strip, trade_date
+from barloom.functions import strip, trade_date, with_once
 from barloom.operators.dedupe import keep_first
 
 # Action keywords in the order they are tried, and the text patterns.
@@ -38,7 +38,7 @@ def parse_actions(
     stated so that the price factor is new over old. ``ex_date`` may be text or
     a date.
     """
-    text = F.lower(F.col(f"`{purpose}`"))
+    text = F.lower("purpose")
     kind = F.when(text.contains(KEYWORDS[0]), KEYWORDS[0])
     for word in KEYWORDS[1:]:
         kind = kind.when(text.contains(word), word)
@@ -60,18 +60,16 @@ def parse_actions(
     def of_kind(word: str, value: str, default: float) -> Column:
         return F.coalesce(F.when(F.col("action_type") == word, F.col(value)), F.lit(default))
 
-    # ``inline`` fixes each extracted value once. Plain projections would be merged
-    # into later filters, which would then run every pattern again per use.
-    typed = df.select(
-        F.upper(strip(F.col(f"`{symbol}`"))).alias("symbol"),
-        day.alias("ex_date"),
-        F.inline(F.array(F.struct(kind.alias("action_type"), text.alias("text")))),
-    ).select(
-        "symbol",
-        "ex_date",
-        "action_type",
-        F.inline(F.array(F.struct(*[value.alias(name) for name, value in values.items()]))),
+    typed = with_once(
+        df.select(
+            F.upper(strip(F.col(f"`{symbol}`"))).alias("symbol"),
+            day.alias("ex_date"),
+            F.col(f"`{purpose}`").alias("purpose"),
+        ),
+        action_type=kind,
+        text=text,
     )
+    typed = with_once(typed, **values)
     second = "split_second" if lenient else "second"
     first = "split_first" if lenient else "first"
     return typed.select(

@@ -33,9 +33,10 @@ def new_keys(
 
     The target is first cut to the batch's keys. A batch that Spark can broadcast
     then filters the target where it is scanned, and only the few keys found are
-    moved; a larger one falls back to an exchange by key.
+    moved; a larger one falls back to an exchange by key. Rows without a whole key
+    are dropped.
     """
     keys = list(keys)
-    candidates = keep_first(batch.dropna(subset=keys), keys, order)
-    present = target.select(*keys).join(candidates.select(*keys), keys, "left_semi").distinct()
-    return candidates.join(present, keys, "left_anti")
+    batch = batch.dropna(subset=keys)
+    present = target.select(*keys).join(batch.select(*keys), keys, "left_semi").distinct()
+    return keep_first(batch.join(present, keys, "left_anti"), keys, order)

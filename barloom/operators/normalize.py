@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom import schemas as S
-from barloom.functions import legacy_date, strip, to_double, to_long, trade_date
+from barloom.functions import legacy_date, strip, to_double, to_long, trade_date, with_once
 
 
 def _text(name: str) -> Column:
@@ -25,10 +25,10 @@ def normalize_legacy(df: DataFrame, distinct: bool = True) -> DataFrame:
     :func:`barloom.operators.consolidate.merge_delivery`.
     """
     value, quantity = to_double("TOTTRDVAL"), to_double("TOTTRDQTY")
-    out = df.select(
+    out = with_once(df, DATE1=legacy_date("TIMESTAMP")).select(
         _text("SYMBOL").alias("SYMBOL"),
         _text("SERIES").alias("SERIES"),
-        legacy_date("TIMESTAMP").alias("DATE1"),
+        "DATE1",
         to_double("PREVCLOSE").alias("PREV_CLOSE"),
         to_double("OPEN").alias("OPEN_PRICE"),
         to_double("HIGH").alias("HIGH_PRICE"),
@@ -63,10 +63,10 @@ def normalize_full(df: DataFrame, distinct: bool = True) -> DataFrame:
     """
     out = df.select(*S.PRICES.fieldNames())
     out = out.distinct() if distinct else out
-    out = out.select(
+    out = with_once(out, __day=trade_date("DATE1")).select(
         _text("SYMBOL").alias("SYMBOL"),
         _text("SERIES").alias("SERIES"),
-        trade_date("DATE1").alias("DATE1"),
+        F.col("__day").alias("DATE1"),
         *[
             (to_long(n) if n in S.PRICE_INTEGERS else to_double(n)).alias(n)
             for n in S.PRICES.fieldNames()[3:]
