@@ -177,8 +177,8 @@ def adjusted_prices(
     if dedupe_actions:
         actions = unique_actions(actions)
     acts = _effective(actions)
-    # Each action makes at most one step, so the actions bound what is broadcast.
-    small = fits_broadcast(acts.select(*EVENT), "symbol", broadcast_bytes, matches_per_key)
+    # Each ex-date makes at most one step, so these rows bound what is broadcast.
+    small = fits_broadcast(acts.select(*EVENT).distinct(), "symbol", broadcast_bytes, matches_per_key)
 
     paying = acts.where(F.col("cash").isNotNull()).select(*EVENT).distinct()
     multipliers = _event_multipliers(acts, previous_closes(prices, paying, small))

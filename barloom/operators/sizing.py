@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Largest side that is broadcast, and the most rows of one key that a probe may meet.
+# A probe that passes over some thousand steps is still cheaper than moving its row.
 BROADCAST_BYTES = 64 * 1024 * 1024
-MATCHES_PER_KEY = 512
+MATCHES_PER_KEY = 8192
 
 _ROW_OVERHEAD = 64
 

@@ -14,14 +14,18 @@ from pyspark.sql import DataFrame, SparkSession
 _DAY = "cast(l_shipdate as date)"
 _PRICE = "l_extendedprice / l_quantity"
 _SEQ = "l_orderkey * 10 + l_linenumber"
-_ISO = f"cast({_DAY} as string)"
-_MONTH = "substr('JanFebMarAprMayJunJulAugSepOctNovDec', 3 * month(l_shipdate) - 2, 3)"
 _SERIES = "case l_returnflag when 'A' then 'EQ' when 'R' then 'BE' else 'N1' end"
-_DMY = f"concat(substr({_ISO}, 9, 2), '-', {_MONTH}, '-', substr({_ISO}, 1, 4))"
 
-# The two file formats cover different years and overlap in 1998.
-_LEGACY_ERA = "l_shipdate < timestamp '1999-01-01 00:00:00'"
-_FULL_ERA = "l_shipdate >= timestamp '1998-01-01 00:00:00'"
+
+def _dmy(day: str) -> str:
+    """``05-Mar-1998`` of a date expression."""
+    iso = f"cast({day} as string)"
+    month = f"substr('JanFebMarAprMayJunJulAugSepOctNovDec', 3 * month({day}) - 2, 3)"
+    return f"concat(substr({iso}, 9, 2), '-', {month}, '-', substr({iso}, 1, 4))"
+
+
+# The full format starts a year later than the first one, so some keys are in both.
+_FULL_DAY = f"({_DAY} + 365)"
 
 VIEWS: dict[str, str] = {
     # One series, one row per symbol and day.
@@ -72,9 +76,9 @@ VIEWS: dict[str, str] = {
                cast({_PRICE} - 1 as string) as LOW, cast({_PRICE} as string) as CLOSE,
                cast({_PRICE} as string) as LAST, case when l_linenumber = 5 then '-' else '10.5' end as PREVCLOSE,
                cast(case when l_linenumber = 7 then 0 else cast(l_quantity as bigint) end as string) as TOTTRDQTY,
-               cast(l_extendedprice as string) as TOTTRDVAL, upper({_DMY}) as TIMESTAMP,
+               cast(l_extendedprice as string) as TOTTRDVAL, upper({_dmy(_DAY)}) as TIMESTAMP,
                cast(l_linenumber as string) as TOTALTRADES
-        from {{lineitem}} where {_LEGACY_ERA}""",
+        from {{lineitem}}""",
     "delivery_raw": f"""
         select '20' as RECORD_TYPE, cast(l_linenumber as string) as SR_NO,
                concat(' P', cast(l_suppkey as string)) as SYMBOL,
@@ -82,11 +86,11 @@ VIEWS: dict[str, str] = {
                cast(cast(l_quantity as bigint) as string) as QUANTITY_TRADED,
                case when l_linenumber = 3 then null else cast(cast(l_quantity as bigint) as string) end as DELIV_QTY,
                case when l_linenumber = 4 then null else '47.25' end as DELIV_PER, {_DAY} as DATE1
-        from {{lineitem}} where {_LEGACY_ERA}""",
+        from {{lineitem}}""",
     "full_raw": f"""
         select concat(' P', cast(l_suppkey as string)) as SYMBOL,
                case when l_linenumber = 6 and l_linestatus = 'O' then null else concat(' ', {_SERIES}) end as SERIES,
-               case when l_linenumber = 2 and l_linestatus = 'O' then '31-Feb-2001' else concat(' ', {_DMY}) end
+               case when l_linenumber = 2 and l_linestatus = 'O' then '31-Feb-2001' else concat(' ', {_dmy(_FULL_DAY)}) end
                    as DATE1,
                cast({_PRICE} as string) as PREV_CLOSE, cast({_PRICE} as string) as OPEN_PRICE,
                cast({_PRICE} + 1 as string) as HIGH_PRICE, cast({_PRICE} - 1 as string) as LOW_PRICE,
@@ -96,7 +100,7 @@ VIEWS: dict[str, str] = {
                cast(l_extendedprice as string) as TURNOVER_LACS, cast(l_linenumber as string) as NO_OF_TRADES,
                case when l_linenumber = 7 then ' -' else cast(cast(l_quantity as bigint) as string) end as DELIV_QTY,
                case when l_linenumber = 7 then ' -' else '55.5' end as DELIV_PER
-        from {{lineitem}} where {_FULL_ERA}""",
+        from {{lineitem}}""",
     "bse_raw": f"""
         select concat(' ', cast(500000 + l_suppkey as string)) as SC_CODE,
                concat('COMPANY ', cast(l_suppkey as string), '  ') as SC_NAME,

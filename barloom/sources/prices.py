@@ -19,6 +19,9 @@ BSE_GLOB = "*.CSV"
 BSE_NAME = r"EQ_ISINCODE_(\d{6})_T0\.CSV"
 PREAMBLE_LINES = 4
 
+# Delivery files up to this size are split in one piece.
+WHOLE_FILE_BYTES = 64 * 1024 * 1024
+
 
 def read_legacy_prices(
     spark: SparkSession, paths: Paths, header: Sequence[str] | None = None
@@ -47,36 +50,45 @@ def read_full_prices(
     )
 
 
-def read_delivery(spark: SparkSession, paths: Paths, by_line: bool = False) -> DataFrame:
+def _delivery_fields(lines: DataFrame) -> DataFrame:
+    fields = F.split("line", ",")
+    return lines.where(F.trim("line") != "").select(
+        *[F.nullif(F.trim(F.get(fields, i)), F.lit("")).alias(n) for i, n in enumerate(S.DELIVERY_RAW.names)],
+        F.try_to_date(F.substring(SOURCE_FILE, 5, 8), DELIVERY_FILE_DATE).alias("DATE1"),
+        SOURCE_FILE,
+    )
+
+
+def read_delivery(spark: SparkSession, paths: Paths, whole_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
     """Delivery files as text, with the date of their name.
 
-    The preamble is the first four lines, so by default a file is one row until
-    it is split; daily files are small. ``by_line`` scans lines in splits of any
-    size and drops every line that is not a detail record, that is, without a
-    numeric record type and serial number.
+    The preamble is the first four lines, so a file of up to ``whole_bytes``, as
+    daily files are, is one row until it is split. Larger files are scanned by
+    line, in splits of any size: there every line that is not a detail record
+    (numeric record type and serial number) is dropped. The size test prunes the
+    file listing, so each file is read once.
     """
     reader = spark.read.option("pathGlobFilter", DELIVERY_GLOB)
-    fields = F.split("line", ",")
-    if by_line:
-        lines = reader.text(paths).select(F.col("value").alias("line"), file_name().alias(SOURCE_FILE))
-    else:
-        lines = (
-            reader.text(paths, wholetext=True)
-            .select(
-                F.posexplode(F.split("value", "\r\n|\n|\r")).alias("position", "line"),
-                file_name().alias(SOURCE_FILE),
-            )
-            .where(F.col("position") >= PREAMBLE_LINES)
+    size = F.col("_metadata.file_size")
+    whole = (
+        reader.text(paths, wholetext=True)
+        .where(size <= whole_bytes)
+        .select(
+            F.posexplode(F.split("value", "\r\n|\n|\r")).alias("position", "line"),
+            file_name().alias(SOURCE_FILE),
         )
-    rows = lines.where(F.trim("line") != "").select(
-        *[F.nullif(F.trim(F.get(fields, i)), F.lit("")).alias(n) for i, n in enumerate(S.DELIVERY_RAW.names)],
-        F.try_to_date(F.substring(SOURCE_FILE, 5, 8), DELIVERY_FILE_DATE).alias("DATE1"),
-        SOURCE_FILE,
+        .where(F.col("position") >= PREAMBLE_LINES)
+    )
+    by_line = (
+        reader.text(paths)
+        .where(size > whole_bytes)
+        .select(F.col("value").alias("line"), file_name().alias(SOURCE_FILE))
+    )
+    number = r"^[0-9]+$"
+    details = _delivery_fields(by_line).where(
+        F.col("RECORD_TYPE").rlike(number) & F.col("SR_NO").rlike(number)
     )
-    if by_line:
-        number = r"^[0-9]+$"
-        rows = rows.where(F.col("RECORD_TYPE").rlike(number) & F.col("SR_NO").rlike(number))
-    return rows
+    return _delivery_fields(whole).unionByName(details)
 
 
 def read_bse_prices(spark: SparkSession, paths: Paths, header: Sequence[str] | None = None) -> DataFrame:
