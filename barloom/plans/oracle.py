@@ -411,4 +411,20 @@ ORACLE: dict[str, str] = {
     union all select exchange, 'div_stock_split', count(*) from acted group by exchange
     union all select null, 'skipped', count(*) from checked where reason is not null
     union all select null, 'failed', count(*) from checked where reason = 'file_read_error'""",
+    "files_full_prices": f"with {_RAW}, {_FULL} select * from full_any",
+    "files_legacy_prices": f"with {_RAW}, {_LEGACY} select * from legacy",
+    "files_actions": f"with {with_clause('ca_raw')}, {_parsed('ca_raw')} select * from actions",
+    "files_bulk_deals": f"with {with_clause('bulk_raw')}, {_DEALS} select * from deals",
+    "files_security_master": f"{_MASTER} select * from master",
+    "store_prices_in_range": f"""with {with_clause('market')}
+    select * from market where DATE1 between date '1996-06-01' and date '1999-02-28'""",
+    "store_prices_appended": f"with {_RAW}, {_LEGACY}, {_FULL}, held as ("
+    + _first_per_key(_LEGACY_WIDE, _ORDER)
+    + f"""), added as ({_first_per_key("select * from full_rows", _ORDER)})
+    select * from held union all
+    select * from added f where not exists (select 1 from held l
+      where l.SYMBOL = f.SYMBOL and l.SERIES = f.SERIES and l.DATE1 = f.DATE1)""",
+    "store_actions_by_key": f"""with {with_clause('ca_raw')}, {_parsed('ca_raw')}, {_UNIQUE}
+    select * from unique_actions where action_type in ('dividend', 'split', 'bonus')""",
+    "stream_full_prices_loaded": f"with {_RAW}, {_FULL} " + _first_per_key("select * from full_rows", _ORDER),
 }

@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from barloom import operators as ops
 from barloom import schemas as S
+from barloom import sinks, sources
 from barloom.functions import round_cents
 from barloom.plans.derived import load
+from barloom.session import scratch_dir
+from barloom.streaming import stream_full_prices
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -450,3 +453,98 @@ def history_summary(t: Tables) -> DataFrame:
     skipped = checked.where(F.col("reason").isNotNull())
     failed = checked.where(F.col("reason") == "file_read_error")
     return ops.history_summary(t.history, skipped, failed)
+
+
+# Files and stored tables ------------------------------------------------------
+# These write the derived rows to a new folder below the checkpoint folder first.
+
+
+def _csv(t: Tables, df: DataFrame) -> str:
+    path = scratch_dir(t.spark)
+    sinks.export_csv(df, path)
+    return path
+
+
+@query
+def files_full_prices(t: Tables) -> DataFrame:
+    """Full-format files of two layouts, one of them with its columns reversed."""
+    raw = t.full_raw
+    turned = raw.select(*reversed(raw.columns))
+    paths = [
+        _csv(t, raw.where(F.col("SERIES").isNotNull())),
+        _csv(t, turned.where(F.col("SERIES").isNull())),
+    ]
+    return ops.normalize_full(sources.read_full_prices(t.spark, paths))
+
+
+@query
+def files_legacy_prices(t: Tables) -> DataFrame:
+    path = _csv(t, t.legacy_raw)
+    return ops.normalize_legacy(sources.read_legacy_prices(t.spark, path, glob="*.csv"))
+
+
+@query
+def files_actions(t: Tables) -> DataFrame:
+    day = F.date_format("EX_DATE", "dd-MMM-yyyy").alias("EX-DATE")
+    path = _csv(t, t.ca_raw.select("SYMBOL", day, "PURPOSE", F.lit("EQ").alias("SERIES")))
+    return ops.parse_actions(sources.read_actions(t.spark, path))
+
+
+@query
+def files_bulk_deals(t: Tables) -> DataFrame:
+    path = _csv(
+        t,
+        t.bulk_raw.select(
+            F.date_format("Date", "dd-MMM-yyyy").alias("Date"),
+            "Symbol",
+            F.col("Quantity_Traded").alias("Quantity Traded"),
+            F.col("Trade_Price__Wght_Avg_Price").alias("Trade Price / Wght. Avg. Price"),
+        ),
+    )
+    return ops.clean_bulk_deals(sources.read_bulk_deals(t.spark, path))
+
+
+@query
+def files_security_master(t: Tables) -> DataFrame:
+    """The exported master read back; absent symbols are still one blank."""
+    return sources.read_securities(t.spark, _csv(t, ops.ordered_master(t.master)))
+
+
+@query
+def store_prices_in_range(t: Tables) -> DataFrame:
+    """The partitioned price table, read back for some years."""
+    path = scratch_dir(t.spark)
+    sinks.write_prices(t.market, path)
+    return sources.read_prices(t.spark, path, start="1996-06-01", end="1999-02-28")
+
+
+@query
+def store_prices_appended(t: Tables) -> DataFrame:
+    """Full-format rows appended by key to a stored table of legacy rows, twice."""
+    path = scratch_dir(t.spark)
+    legacy = t.legacy.select(
+        *[
+            (F.col(f.name) if f.name in t.legacy.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in S.PRICES.fields
+        ]
+    )
+    sinks.write_prices(ops.keep_first(legacy, S.PRICE_KEY), path)
+    for _ in range(2):
+        sinks.append_prices(t.spark, path, t.full)
+    return sources.read_prices(t.spark, path)
+
+
+@query
+def store_actions_by_key(t: Tables) -> DataFrame:
+    path = scratch_dir(t.spark)
+    for _ in range(2):
+        sinks.append_ignore(t.spark, path, t.actions, S.ACTION_KEY)
+    return sources.read_action_table(t.spark, path)
+
+
+@query
+def stream_full_prices_loaded(t: Tables) -> DataFrame:
+    """Full-format files loaded by the streaming job; one micro-batch takes them all."""
+    source, target = _csv(t, t.full_raw), scratch_dir(t.spark)
+    stream_full_prices(t.spark, source, target, checkpoint=scratch_dir(t.spark)).awaitTermination()
+    return sources.read_prices(t.spark, target)

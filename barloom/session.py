@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -40,3 +41,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix="barloom-checkpoint-")
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """A new folder name below the checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/barloom-{uuid.uuid4().hex}"

@@ -24,7 +24,7 @@ WHOLE_FILE_BYTES = 64 * 1024 * 1024
 
 
 def read_legacy_prices(
-    spark: SparkSession, paths: Paths, header: Sequence[str] | None = None
+    spark: SparkSession, paths: Paths, header: Sequence[str] | None = None, glob: str = LEGACY_GLOB
 ) -> DataFrame:
     """First daily price format as text; the literal ``NA`` is kept as a symbol.
 
@@ -37,7 +37,7 @@ def read_legacy_prices(
         S.LEGACY_COLUMNS,
         required=S.LEGACY_COLUMNS[:2] + ["TIMESTAMP"],
         header=header,
-        pathGlobFilter=LEGACY_GLOB,
+        pathGlobFilter=glob,
     )
 
 
