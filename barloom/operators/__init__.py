@@ -21,6 +21,7 @@ from barloom.operators.consolidate import (
     incremental_append,
     insert_ignore,
     merge_delivery,
+    ordered_prices,
     price_table,
 )
 from barloom.operators.dedupe import keep_first, new_keys

@@ -52,6 +52,11 @@ def price_table(full: DataFrame, legacy: DataFrame, delivery: DataFrame) -> Data
     return joined.select(*[F.col(f.name).cast(f.dataType) for f in S.PRICES.fields])
 
 
+def ordered_prices(prices: DataFrame) -> DataFrame:
+    """Price rows by date and symbol, for exports; stored tables sort within files instead."""
+    return prices.orderBy("DATE1", "SYMBOL", "SERIES")
+
+
 def incremental_append(target: DataFrame, batch: DataFrame) -> DataFrame:
     """Rows of a new daily batch that the price table does not hold yet."""
     return new_keys(target, batch, S.PRICE_KEY)

@@ -23,10 +23,11 @@ def build_price_table(
     full: Paths | None = None,
     legacy: Paths | None = None,
     delivery: Paths | None = None,
+    export: str | None = None,
 ) -> DataFrame:
     """Consolidate all raw files into the price table and return its summary.
 
-    Any of the three inputs may be missing.
+    Any of the three inputs may be missing. ``export`` also writes ordered CSV.
     """
     full_rows = legacy_rows = delivery_rows = None
     if full is not None:
@@ -44,7 +45,10 @@ def build_price_table(
         _or_empty(delivery_rows, spark, delivery_schema),
     )
     sinks.write_prices(prices, target)
-    return ops.dataset_summary(sources.read_prices(spark, target))
+    stored = sources.read_prices(spark, target)
+    if export is not None:
+        sinks.export_csv(ops.ordered_prices(stored), export)
+    return ops.dataset_summary(stored)
 
 
 def update_price_table(spark: SparkSession, target: str, files: Paths) -> DataFrame:
@@ -63,19 +67,25 @@ def adjust_prices(
     actions_table: str | None = None,
     symbols: Iterable[str] | None = None,
     lenient: bool = False,
+    export_root: str | None = None,
 ) -> DataFrame:
     """Parse the actions, adjust the stored prices, write them, and return what was written.
 
     With ``actions_table`` the actions are also kept there by key, and only the
-    kept ones count.
+    kept ones count. ``export_root`` also takes both results as CSV.
     """
     actions = ops.parse_actions(sources.read_actions(spark, actions_csv), lenient=lenient)
+    if export_root is not None:
+        sinks.export_csv(actions, f"{export_root}/actions")
     if actions_table is not None:
         sinks.append_ignore(spark, actions_table, actions, S.ACTION_KEY)
         actions = sources.read_action_table(spark, actions_table)
     adjusted = ops.adjusted_prices(sources.read_prices(spark, prices), actions, symbols)
     sinks.write_prices(adjusted, target)
-    return sources.read_prices(spark, target)
+    stored = sources.read_prices(spark, target)
+    if export_root is not None:
+        sinks.export_csv(stored, f"{export_root}/adjusted_prices")
+    return stored
 
 
 def compare_with_quotes(

@@ -22,7 +22,7 @@ def spark_rows(df):
 
 
 def oracle_rows(con, sql: str):
-    table = con.execute(sql).to_arrow_table()
+    table = con.sql(sql).to_arrow_table()
     names = sorted(table.column_names)
     columns = [table.column(n).to_pylist() for n in names]
     return names, Counter(zip(*columns)), {n: str(table.schema.field(n).type) for n in names}

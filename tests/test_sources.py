@@ -56,6 +56,13 @@ def test_known_header_skips_the_layout_pass(spark, tmp_path, rows):
     ]
 
 
+def test_odd_file_names(spark, tmp_path, rows):
+    folder = write(tmp_path / "a b", "x 1+y%z&w.csv", "SYMBOL,SERIES,DATE1\nA,EQ,01-Apr-2020\n")
+    write(tmp_path / "a b", "M&M.csv", "SERIES,SYMBOL,DATE1\nEQ,B,01-Apr-2020\n")
+    df = sources.read_full_prices(spark, folder)
+    assert rows(df, "SYMBOL", "SOURCE_FILE") == [("A", "x 1+y%z&w.csv"), ("B", "M&M.csv")]
+
+
 def test_no_usable_file(spark, tmp_path):
     folder = write(tmp_path / "full", "a.csv", "nothing\n")
     df = sources.read_full_prices(spark, folder)

@@ -133,8 +133,9 @@ def test_jobs(spark, tmp_path, rows):
     )
     put(raw / "delivery" / "MTO_01042024.DAT", "a\nb\nc\nd\n20,1,A,EQ,10,6,60.0\n")
     summary = jobs.build_price_table(
-        spark, target, str(raw / "full"), str(raw / "legacy"), str(raw / "delivery")
+        spark, target, str(raw / "full"), str(raw / "legacy"), str(raw / "delivery"), str(tmp_path / "csv")
     )
+    assert spark.read.option("header", True).csv(str(tmp_path / "csv")).columns == S.PRICES.fieldNames()
     assert tuple(summary.first()) == (3, D(2024, 4, 1), D(2024, 4, 3), 1, 1)
     stored = sources.read_prices(spark, target)
     assert rows(stored, "DATE1", "CLOSE_PRICE", "DELIV_QTY") == [
@@ -148,7 +149,9 @@ def test_jobs(spark, tmp_path, rows):
     ]
 
     ca = put(raw / "ca.csv", "SYMBOL,SERIES,PURPOSE,EX-DATE\nA,EQ,Bonus 1:1,03-Apr-2024\nA,EQ,Dividend Rs 10,03-Apr-2024\n")
-    adjusted = jobs.adjust_prices(spark, target, ca, str(tmp_path / "adj"), str(tmp_path / "ca"))
+    adjusted = jobs.adjust_prices(spark, target, ca, str(tmp_path / "adj"), str(tmp_path / "ca"), export_root=str(tmp_path / "x"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "x" / "actions")).count() == 2
+    assert spark.read.option("header", True).csv(str(tmp_path / "x" / "adjusted_prices")).count() == 4
     assert adjusted.columns == S.ADJ_PRICES.fieldNames()
     assert rows(adjusted.where("SYMBOL = 'A'"), "DATE1", "ADJ_CLOSE_PRICE") == [
         (D(2024, 4, 1), pytest.approx(36.0)), (D(2024, 4, 2), pytest.approx(45.0)), (D(2024, 4, 3), 90.0)
