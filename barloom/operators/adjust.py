@@ -7,7 +7,8 @@ Two exact plans compute it:
 
 *steps*  The steps are a few rows per symbol. When they are measured to be small
          they are broadcast, and the price table is only scanned: its rows are
-         never exchanged.
+         never exchanged. Steps are keyed by symbol and calendar bucket, so a row
+         meets at most one step per day of a bucket, whatever its symbol has.
 *days*   Otherwise prices are cut to one row per symbol and day before windows
          run by symbol. A window then holds at most one row per calendar day,
          however many rows the symbol has, and the factors go back to the prices
@@ -22,13 +23,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.operators.actions import price_actions, unique_actions
-from barloom.operators.sizing import BROADCAST_BYTES, MATCHES_PER_KEY, fits_broadcast
+from barloom.operators.sizing import BROADCAST_BYTES, ROW_OVERHEAD
 
 # The series whose close is the reference on a day with several.
 SERIES_PRIORITY = ["EQ", "BE"]
 
 EVENT = ["symbol", "ex_date"]
 
+# Buckets of 32, 128 or 512 days. Narrow ones leave fewer steps to a probe, wide
+# ones repeat a long step less often.
+BUCKET_BITS = [5, 7, 9]
+
 
 def only_symbols(df: DataFrame, symbols: Iterable[str] | DataFrame | None, column: str) -> DataFrame:
     """Keep the rows of the given symbols: a plain collection, or a frame's first column."""
@@ -81,42 +86,82 @@ def _event_multipliers(acts: DataFrame, closes: DataFrame) -> DataFrame:
     )
 
 
-def _steps(events: DataFrame, value: Column | None = None) -> DataFrame:
+def choose_bucket_bits(events: DataFrame, limit_bytes: int) -> int | None:
+    """The narrowest calendar bucket whose steps fit the limit, or None.
+
+    ``events`` has distinct (symbol, ex_date) rows. Each step is counted in every
+    bucket it can touch, so the sizes are upper bounds, all taken in one
+    aggregation.
+    """
+    span = F.date_diff(F.max("ex_date"), F.min("ex_date"))
+    per = events.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"), span.alias("span"))
+    width = F.octet_length("symbol") + ROW_OVERHEAD + 8 * 5
+    sizes = per.agg(
+        *[
+            F.sum((2 * F.col("n") + F.shiftright("span", bits)) * width).alias(f"b{bits}")
+            for bits in BUCKET_BITS
+        ]
+    ).first()
+    fitting = [bits for bits in BUCKET_BITS if (sizes[f"b{bits}"] or 0) <= limit_bytes]
+    return fitting[0] if fitting else None
+
+
+def _steps(events: DataFrame) -> DataFrame:
     """Half-open day ranges [since, ex_date) between the ex-dates of a symbol.
 
-    ``events`` has one row per symbol and ex-date.
+    ``events`` has one row per symbol and ex-date; the first range is open below.
     """
-    newest_first = Window.partitionBy("symbol").orderBy(F.desc("ex_date"))
     since = F.lag("ex_date").over(Window.partitionBy("symbol").orderBy("ex_date"))
-    columns = [*EVENT, since.alias("since")]
-    if value is not None:
-        columns.append(
-            F.product(value)
-            .over(newest_first.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-            .alias("factor")
-        )
-    return events.select(*columns)
+    return events.withColumn("since", since)
 
 
-def _in_step() -> Column:
-    return (
-        (F.col("SYMBOL") == F.col("symbol_"))
-        & (F.col("DATE1") < F.col("ex_date"))
-        & (F.col("since").isNull() | (F.col("DATE1") >= F.col("since")))
+def _bucket(day: Column, bits: int) -> Column:
+    return F.shiftright(F.unix_date(day), bits)
+
+
+def _join_steps(rows: DataFrame, steps: DataFrame, bits: int, *values: str) -> DataFrame:
+    """Add to each row the ``values`` of the step that its SYMBOL and DATE1 fall in.
+
+    Only broadcasts: one row per symbol for the days before its first ex-date, and
+    the later steps by bucket. NULL from the last ex-date on.
+    """
+    first = steps.where(F.col("since").isNull()).select(
+        F.col("symbol").alias("f_symbol"),
+        F.col("ex_date").alias("f_until"),
+        *[F.col(v).alias(f"f_{v}") for v in values],
+    )
+    last_day = F.date_sub("ex_date", 1)
+    later = steps.where(F.col("since").isNotNull()).select(
+        F.col("symbol").alias("s_symbol"),
+        F.col("since").alias("s_since"),
+        F.col("ex_date").alias("s_until"),
+        *[F.col(v).alias(f"s_{v}") for v in values],
+        F.explode(F.sequence(_bucket(F.col("since"), bits), _bucket(last_day, bits))).alias("s_bucket"),
     )
+    day = F.col("DATE1")
+    joined = rows.join(F.broadcast(first), F.col("SYMBOL") == F.col("f_symbol"), "left").join(
+        F.broadcast(later),
+        (F.col("SYMBOL") == F.col("s_symbol"))
+        & (_bucket(day, bits) == F.col("s_bucket"))
+        & (day >= F.col("s_since"))
+        & (day < F.col("s_until")),
+        "left",
+    )
+    found = [F.when(day < F.col("f_until"), F.col(f"f_{v}")).otherwise(F.col(f"s_{v}")).alias(v) for v in values]
+    return joined.select(*[F.col(f"`{c}`") for c in rows.columns], *found)
 
 
-def previous_trade_dates(prices: DataFrame, events: DataFrame, broadcast: bool) -> DataFrame:
+def previous_trade_dates(prices: DataFrame, events: DataFrame, bucket_bits: int | None = None) -> DataFrame:
     """As-of, strictly before: the last trade date of a symbol before each of its ex-dates.
 
-    ``events`` has distinct (symbol, ex_date) rows. Events before any trade are left out.
+    ``events`` has distinct (symbol, ex_date) rows. Events before any trade are
+    left out. With ``bucket_bits`` the steps between events are broadcast.
     """
-    if broadcast:
-        steps = _steps(events).withColumnRenamed("symbol", "symbol_")
+    if bucket_bits is not None:
+        located = _join_steps(prices.select("SYMBOL", "DATE1"), _steps(events), bucket_bits, "ex_date")
         last_in_step = (
-            prices.select("SYMBOL", "DATE1")
-            .join(F.broadcast(steps), _in_step())
-            .groupBy(F.col("symbol_").alias("symbol"), "ex_date")
+            located.where(F.col("ex_date").isNotNull())
+            .groupBy(F.col("SYMBOL").alias("symbol"), "ex_date")
             .agg(F.max("DATE1").alias("d"))
         )
         known = events.join(last_in_step, EVENT, "left")
@@ -138,12 +183,12 @@ def previous_trade_dates(prices: DataFrame, events: DataFrame, broadcast: bool)
     return found.where(F.col("trade_date").isNotNull())
 
 
-def previous_closes(prices: DataFrame, events: DataFrame, broadcast: bool) -> DataFrame:
+def previous_closes(prices: DataFrame, events: DataFrame, bucket_bits: int | None = None) -> DataFrame:
     """The close on the last trade date before each ex-date: symbol, ex_date, prev_close."""
-    dates = previous_trade_dates(prices, events, broadcast).withColumnRenamed("symbol", "symbol_")
+    dates = previous_trade_dates(prices, events, bucket_bits).withColumnRenamed("symbol", "symbol_")
     narrow = prices.select("SYMBOL", "SERIES", "DATE1", "CLOSE_PRICE")
     on_date = (F.col("SYMBOL") == F.col("symbol_")) & (F.col("DATE1") == F.col("trade_date"))
-    if broadcast:
+    if bucket_bits is not None:
         # Few rows match: those of one day per event.
         closes = _one_close(narrow.join(F.broadcast(dates), on_date), ["symbol_", "ex_date"])
     else:
@@ -164,28 +209,33 @@ def adjusted_prices(
     symbols: Iterable[str] | DataFrame | None = None,
     dedupe_actions: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
-    matches_per_key: int = MATCHES_PER_KEY,
 ) -> DataFrame:
     """Price rows with ADJ_CLOSE_PRICE after CLOSE_PRICE.
 
     A dividend uses the raw close of the day before its ex-date, a split is
     to / from, a bonus is to / (from + to); multipliers that are not positive
     are ignored. ``dedupe_actions`` keeps one action per symbol, date and type.
+    The size of the steps is measured by a small job over the actions; above
+    ``broadcast_bytes`` the plan by days is used.
     """
     prices = only_symbols(prices, symbols, "SYMBOL")
     actions = only_symbols(actions, symbols, "symbol")
     if dedupe_actions:
         actions = unique_actions(actions)
     acts = _effective(actions)
-    # Each ex-date makes at most one step, so these rows bound what is broadcast.
-    small = fits_broadcast(acts.select(*EVENT).distinct(), "symbol", broadcast_bytes, matches_per_key)
+    bits = choose_bucket_bits(acts.select(*EVENT).distinct(), broadcast_bytes)
 
     paying = acts.where(F.col("cash").isNotNull()).select(*EVENT).distinct()
-    multipliers = _event_multipliers(acts, previous_closes(prices, paying, small))
+    multipliers = _event_multipliers(acts, previous_closes(prices, paying, bits))
 
-    if small:
-        steps = _steps(multipliers, F.col("m")).withColumnRenamed("symbol", "symbol_")
-        joined = prices.join(F.broadcast(steps), _in_step(), "left")
+    if bits is not None:
+        later_or_same = (
+            Window.partitionBy("symbol")
+            .orderBy(F.desc("ex_date"))
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        )
+        steps = _steps(multipliers.select(*EVENT, F.product("m").over(later_or_same).alias("factor")))
+        joined = _join_steps(prices, steps, bits, "factor")
         return joined.select(*_with_adjusted(prices, F.col("factor")))
 
     factors = day_factors(prices, multipliers)

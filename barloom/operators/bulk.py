@@ -83,7 +83,7 @@ def bulk_with_prices(
         *[c for c in dict.fromkeys([*averaged, "CLOSE_PRICE", "OPEN_PRICE", "LOW_PRICE"])],
     )
     keys = deals.select("Symbol", "Date").distinct()
-    if fits_broadcast(keys, "Symbol", broadcast_bytes):
+    if fits_broadcast(keys, broadcast_bytes):
         market = market.join(F.broadcast(keys), ["Symbol", "Date"], "left_semi")
 
     def share(condition):

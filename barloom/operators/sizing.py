@@ -2,38 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest side that is broadcast, and the most rows of one key that a probe may meet.
-# A probe that passes over some thousand steps is still cheaper than moving its row.
+# Largest side that is broadcast, and what a row takes besides its columns.
 BROADCAST_BYTES = 64 * 1024 * 1024
-MATCHES_PER_KEY = 8192
-
-_ROW_OVERHEAD = 64
+ROW_OVERHEAD = 64
 
 
 def fits_broadcast(
     df: DataFrame,
-    key: str,
     limit_bytes: int = BROADCAST_BYTES,
-    per_key: int | None = None,
-    columns: Sequence[str] | None = None,
 ) -> bool:
-    """Measure ``df`` in one aggregation: total bytes, and the rows of its largest key.
+    """Measure ``df`` in one aggregation and tell whether it may be broadcast.
 
     Counts every row, so the answer is a bound and not an estimate. Fixed-width
     columns are covered by a flat allowance per row; text columns by their length.
     """
-    names = list(columns or df.columns)
-    texts = [f.name for f in df.schema.fields if f.name in names and f.dataType.typeName() == "string"]
-    width = F.lit(_ROW_OVERHEAD + 8 * len(names)).cast("bigint")
-    for name in texts:
-        width = width + F.coalesce(F.octet_length(name), F.lit(0))
-    per = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("bytes"))
-    row = per.agg(F.max("n").alias("n"), F.sum("bytes").alias("bytes")).first()
-    if row["n"] is None:
-        return True
-    return row["bytes"] <= limit_bytes and (per_key is None or row["n"] <= per_key)
+    width = F.lit(ROW_OVERHEAD + 8 * len(df.columns)).cast("bigint")
+    for field in df.schema.fields:
+        if field.dataType.typeName() == "string":
+            width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
+    return (df.agg(F.sum(width).alias("bytes")).first()["bytes"] or 0) <= limit_bytes

@@ -293,6 +293,7 @@ ORACLE: dict[str, str] = {
     "adjusted_prices_multi_series": _MULTI_SERIES,
     "adjusted_prices_multi_series_by_days": _MULTI_SERIES,
     "previous_closes": _previous("arg_max(b.CLOSE_PRICE, b.DATE1) as prev_close"),
+    "previous_closes_by_steps": _previous("arg_max(b.CLOSE_PRICE, b.DATE1) as prev_close"),
     "previous_trade_dates": _previous("max(b.DATE1) as trade_date"),
     "adjustment_impact": f"""
     with {with_clause('bars', 'ca_raw')}, {_parsed('ca_raw')}, {_multipliers('bars')},

@@ -132,13 +132,19 @@ def adjusted_prices_multi_series_by_days(t: Tables) -> DataFrame:
 @query
 def previous_closes(t: Tables) -> DataFrame:
     events = t.actions.select("symbol", "ex_date").distinct()
-    return ops.previous_closes(t.bars, events, broadcast=False)
+    return ops.previous_closes(t.bars, events)
+
+
+@query
+def previous_closes_by_steps(t: Tables) -> DataFrame:
+    events = t.actions.select("symbol", "ex_date").distinct()
+    return ops.previous_closes(t.bars, events, bucket_bits=5)
 
 
 @query
 def previous_trade_dates(t: Tables) -> DataFrame:
     events = t.actions.select("symbol", "ex_date").distinct()
-    return ops.previous_trade_dates(t.bars, events, broadcast=False)
+    return ops.previous_trade_dates(t.bars, events)
 
 
 @query

@@ -7,10 +7,11 @@ import pytest
 
 from barloom import operators as ops
 from barloom import schemas as S
+from barloom.operators import adjust
 
 DAY = dt.date(2024, 1, 1)
 
-PLANS = {"steps": {}, "days": {"broadcast_bytes": 0}, "many_steps": {"matches_per_key": 1}}
+PLANS = {"steps": {}, "days": {"broadcast_bytes": 0}}
 
 
 def day(n):
@@ -121,9 +122,17 @@ def brute_force(prices, actions):
 
 
 @pytest.mark.parametrize("seed", range(3))
-@pytest.mark.parametrize("plan", PLANS)
-def test_random_tables_with_a_hot_symbol(spark, plan, seed):
+@pytest.mark.parametrize("plan", [*PLANS, "wide"])
+def test_random_tables_with_a_hot_symbol(spark, plan, seed, monkeypatch):
+    if plan == "wide":
+        monkeypatch.setattr(adjust, "BUCKET_BITS", [9])
     rng = random.Random(seed)
+    # Days on both sides of the epoch, where bucket numbers change sign.
+    base = dt.date(1969, 10, 1) if seed == 1 else DAY
+
+    def day(n):
+        return base + dt.timedelta(days=n)
+
     prices, actions = {}, []
     for _ in range(600):
         symbol = "HOT" if rng.random() < 0.5 else f"S{rng.randrange(8)}"
@@ -135,7 +144,7 @@ def test_random_tables_with_a_hot_symbol(spark, plan, seed):
         numbers = {"dividend": [rng.choice([0.5, 2, 50])]}.get(kind, [rng.randrange(4), rng.randrange(1, 4)])
         actions.append(action(symbol, day(rng.randrange(-5, 205)), kind, *numbers))
     rows = list(prices.values())
-    found = adjusted(spark, rows, actions, **PLANS[plan])
+    found = adjusted(spark, rows, actions, **PLANS.get(plan, {}))
     expected = brute_force(rows, actions)
     assert found.keys() == expected.keys()
     for key, value in expected.items():
@@ -158,3 +167,15 @@ def test_impact(spark):
     df = spark.createDataFrame([(100.0, 50.0), (100.0, 100.0), (None, None), (0.0, 0.0)],
                                "CLOSE_PRICE double, ADJ_CLOSE_PRICE double")
     assert tuple(ops.adjustment_impact(df).first()) == (-50.0, 1)
+
+
+@pytest.mark.parametrize(("rows", "bits"), [(35, 5), (34, 7), (11, 7), (10, 9), (5, 9), (4, None)])
+def test_bucket_choice_is_a_bound(spark, rows, bits):
+    events = spark.createDataFrame([("A", day(0)), ("A", day(1000))], "symbol string, ex_date date")
+    width = 1 + 64 + 8 * 5
+    assert adjust.choose_bucket_bits(events, rows * width) == bits
+
+
+def test_no_events_are_small(spark):
+    events = spark.createDataFrame([], "symbol string, ex_date date")
+    assert adjust.choose_bucket_bits(events, 0) == 5
