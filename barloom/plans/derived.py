@@ -153,11 +153,28 @@ VIEWS: dict[str, str] = {
 _NAME = re.compile(r"\{(\w+)\}")
 
 
+# Views whose rows are parsed at some cost.
+_TEXT_VIEWS = {"legacy_raw", "delivery_raw", "full_raw", "bse_raw", "bulk_raw"}
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    """Spread a table over the cores where it comes in fewer files than there are.
+
+    A small table is one file with one row group, which one task would parse
+    alone. By key, because spreading rows in turn would sort them first. Tables of
+    many files are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, df.columns[0]) if len(df.inputFiles()) < cores else df
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived view, or one of the given tables."""
     if name not in VIEWS:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     parts = {part: load(spark, sf_dir, part) for part in set(_NAME.findall(VIEWS[name]))}
+    if name in _TEXT_VIEWS:
+        parts = {part: _spread(df) for part, df in parts.items()}
     return spark.sql(VIEWS[name], **parts)
 
 
