@@ -252,7 +252,7 @@ _CHECKED = f"""{_HISTORY},
         case when count(*) < 27 then 'insufficient_data' end as reason
       from history group by exchange, symbol)"""
 
-_AUDITED = [c for c in [*_NUMBERS, "TURNOVER_LACS", "DELIV_PER", "TTL_TRD_QNTY", "NO_OF_TRADES", "DELIV_QTY"]]
+_AUDITED = [*_NUMBERS, "TURNOVER_LACS", "DELIV_PER", "TTL_TRD_QNTY", "NO_OF_TRADES", "DELIV_QTY"]
 
 
 def _audit() -> str:

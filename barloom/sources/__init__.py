@@ -3,7 +3,6 @@
 from barloom.sources.files import layouts, read_csv_by_name
 from barloom.sources.history import read_histories
 from barloom.sources.lists import (
-    drop_blank_rows,
     read_actions,
     read_bulk_deals,
     read_securities,
@@ -18,7 +17,6 @@ from barloom.sources.prices import (
 from barloom.sources.tables import read_action_table, read_prices
 
 __all__ = [
-    "drop_blank_rows",
     "layouts",
     "read_action_table",
     "read_actions",

@@ -148,7 +148,10 @@ def test_jobs(spark, tmp_path, rows):
         (D(2024, 4, 5),), (D(2024, 4, 8),)
     ]
 
-    ca = put(raw / "ca.csv", "SYMBOL,SERIES,PURPOSE,EX-DATE\nA,EQ,Bonus 1:1,03-Apr-2024\nA,EQ,Dividend Rs 10,03-Apr-2024\n")
+    ca = put(
+        raw / "ca.csv",
+        "SYMBOL,SERIES,PURPOSE,EX-DATE\nA,EQ,Bonus 1:1,03-Apr-2024\nA,EQ,Dividend Rs 10,03-Apr-2024\n",
+    )
     adjusted = jobs.adjust_prices(spark, target, ca, str(tmp_path / "adj"), str(tmp_path / "ca"), export_root=str(tmp_path / "x"))
     assert spark.read.option("header", True).csv(str(tmp_path / "x" / "actions")).count() == 2
     assert spark.read.option("header", True).csv(str(tmp_path / "x" / "adjusted_prices")).count() == 4
@@ -158,7 +161,8 @@ def test_jobs(spark, tmp_path, rows):
     ]
 
     quotes = spark.createDataFrame(
-        [(D(2024, 4, 2), 100.0, 45.0), (D(2024, 4, 3), 90.0, 91.0)], "Date date, `A.NS|Close` double, `A.NS|Adj Close` double"
+        [(D(2024, 4, 2), 100.0, 45.0), (D(2024, 4, 3), 90.0, 91.0)],
+        "Date date, `A.NS|Close` double, `A.NS|Adj Close` double",
     )
     comparison = jobs.compare_with_quotes(
         spark, str(tmp_path / "adj"), quotes, {"A": "A.NS"}, "2024-04-01", "2024-04-30", str(tmp_path)
