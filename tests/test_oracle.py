@@ -4,6 +4,8 @@ import pytest
 from oracle_compare import compare, connect
 
 import __spark_entry__ as entry
+from barloom.plans.oracle import ORACLE
+from barloom.plans.registry import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -14,10 +16,11 @@ def con():
 
 
 def test_each_query_has_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE.keys()
+    assert QUERIES.items() <= entry.queries().items()
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
     assert compare(spark, con, entry.queries()[name], entry.oracle_sql()[name], SF_DIR) == []
 
