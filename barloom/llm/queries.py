@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate
+from . import bpe, decontaminate, token_counts, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": decontaminate.query,
     "op2_bpe": bpe.query,
+    "op3_token_counts": token_counts.query,
+    "op5_token_files": token_files.query,
 }
 
 ORACLE: dict[str, str] = {}
