@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,6 +69,28 @@ def broadcast_if_small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) ->
     return F.broadcast(df) if rows <= limit else df
 
 
+def sliding(df: DataFrame, name: str, width: int, merge: Callable[[Column, Column], Column]) -> DataFrame:
+    """Replace an array column by the merge of each ``width`` neighbours, by doubling.
+
+    Each step merges the array with itself or the original, moved; four passes do
+    for any width up to eight. The last ``width - 1`` places are left to be cut off.
+    """
+
+    def moved(column: str, by: int) -> Column:
+        return F.slice(column, by + 1, F.greatest(F.size(column) - by, F.lit(0)))
+
+    rest = [c for c in df.columns if c != name]
+    df, have = df.withColumn("_base", F.col(name)), 1
+    for bit in bin(width)[3:]:
+        df = with_once(df, _next=F.zip_with(name, moved(name, have), merge)).select(*rest, "_base", F.col("_next").alias(name))
+        have *= 2
+        if bit == "1":
+            df = with_once(df, _next=F.zip_with(name, moved("_base", have), merge))
+            df = df.select(*rest, "_base", F.col("_next").alias(name))
+            have += 1
+    return df.drop("_base")
+
+
 def sha256_hex(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
@@ -82,6 +105,7 @@ __all__ = [
     "lower_ascii",
     "read_table",
     "sha256_hex",
+    "sliding",
     "stored",
     "with_once",
     "words_of",

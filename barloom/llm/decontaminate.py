@@ -18,40 +18,16 @@ length (nine at most) the fingerprint is the hash of the whole span.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import KEY, broadcast_if_small, keyed, lower_ascii, sha256_hex, stored, with_once, words_of
+from .common import KEY, broadcast_if_small, keyed, lower_ascii, sha256_hex, sliding, stored, with_once, words_of
 
 SPAN = 10
 K = 5
 HITS = "array<struct<start:int,end:int>>"
 
 
-def _sliding(df: DataFrame, name: str, width: int, merge: Callable[[Column, Column], Column]) -> DataFrame:
-    """Replace an array column by the merge of each ``width`` neighbours, by doubling.
-
-    Each step merges the array with itself or the original, moved; four passes do
-    for any width up to eight. The last ``width - 1`` places are left to be cut off.
-    """
-
-    def moved(column: str, by: int) -> Column:
-        return F.slice(column, by + 1, F.greatest(F.size(column) - by, F.lit(0)))
-
-    rest = [c for c in df.columns if c != name]
-    df, have = df.withColumn("_base", F.col(name)), 1
-    for bit in bin(width)[3:]:
-        df = with_once(df, _next=F.zip_with(name, moved(name, have), merge)).select(*rest, "_base", F.col("_next").alias(name))
-        have *= 2
-        if bit == "1":
-            df = with_once(df, _next=F.zip_with(name, moved("_base", have), merge))
-            df = df.select(*rest, "_base", F.col("_next").alias(name))
-            have += 1
-    return df.drop("_base")
-
-
 def span_fingerprints(df: DataFrame, lengths: list[int], span: int = SPAN, k: int = K) -> DataFrame:
     """One row per span: the other columns of ``df``, ``length``, ``start``, ``fingerprint``.
 
@@ -64,8 +40,8 @@ def span_fingerprints(df: DataFrame, lengths: list[int], span: int = SPAN, k: in
     for length in lengths:
         gram = k if length == span else length
         part = hashed.select(*keep, F.greatest(F.size("words") - (length - 1), F.lit(0)).alias("_spans"), "_grams")
-        part = _sliding(part, "_grams", gram, lambda a, b: F.xxhash64(a, b))
-        part = _sliding(part, "_grams", length - gram + 1, lambda a, b: F.least(a, b))
+        part = sliding(part, "_grams", gram, lambda a, b: F.xxhash64(a, b))
+        part = sliding(part, "_grams", length - gram + 1, lambda a, b: F.least(a, b))
         part = part.select(*keep, F.lit(length).alias("length"), F.posexplode_outer(F.slice("_grams", 1, F.col("_spans"))))
         found = part if found is None else found.union(part)
     return found.withColumnsRenamed({"pos": "start", "col": "fingerprint"})

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, quality, token_counts, token_files
+from . import bpe, decontaminate, licenses, quality, secret_scan, token_counts, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": decontaminate.query,
@@ -14,6 +14,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": token_counts.query,
     "op5_token_files": token_files.query,
     "op8_quality": quality.query,
+    "op9_secrets": secret_scan.query,
+    "op10_licenses": licenses.query,
 }
 
 ORACLE: dict[str, str] = {}
