@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, licenses, quality, secret_scan, token_counts, token_files
+from . import bpe, decontaminate, jaccard, licenses, quality, secret_scan, token_counts, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": decontaminate.query,
     "op2_bpe": bpe.query,
     "op3_token_counts": token_counts.query,
+    "op4_jaccard": jaccard.query,
     "op5_token_files": token_files.query,
     "op8_quality": quality.query,
     "op9_secrets": secret_scan.query,
