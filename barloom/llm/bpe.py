@@ -38,8 +38,8 @@ from tokenizers import Tokenizer
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
-SLICE_BYTES = 16_000_000
-CACHE_ENTRIES = 500_000
+SLICE_BYTES = 4_000_000
+CACHE_ENTRIES = 150_000
 _END = "\ue000"  # stands for the word-end suffix, so that each symbol is one letter
 _NEVER = 1 << 60
 
