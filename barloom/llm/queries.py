@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, jaccard, licenses, line_dedup, quality, secret_scan, token_counts, token_files
+from . import bpe, decontaminate, jaccard, licenses, line_dedup, pii, quality, secret_scan, token_counts, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": decontaminate.query,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": token_counts.query,
     "op4_jaccard": jaccard.query,
     "op5_token_files": token_files.query,
+    "op6_pii": pii.query,
     "op7_line_dedup": line_dedup.query,
     "op8_quality": quality.query,
     "op9_secrets": secret_scan.query,
