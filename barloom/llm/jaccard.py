@@ -287,5 +287,32 @@ def near_duplicates(
     return joined.select("doc_id", *KEY, F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
+def keep_one(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``documents`` with one of each component: the least id, and of equal ids the least text hash.
+
+    Same columns. Documents without words link with nothing and stay; of repeated rows
+    one stays.
+    """
+    found = stored(near_duplicates(documents, doc_id, text, **options))
+    least = F.min(F.struct("doc_id", *KEY))
+    kept = found.where("n_shingles > 0 and component_id is not null").groupBy("component_id").agg(least.alias("kept")).select("kept.*")
+    rest = found.where("n_shingles = 0 or component_id is null").select("doc_id", *KEY).distinct()
+    kept = stored(kept.union(rest).select(*KEY))
+    keys = {
+        "_key_id": F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit("")),
+        "_key_hash": F.xxhash64(F.col(f"`{text}`")),
+    }
+    names = [f"`{c}`" for c in documents.columns]
+    stays = documents.withColumns(keys).join(broadcast_if_small(kept, kept.count()).toDF(*keys), list(keys), "left_semi")
+    # Only keys that occur more than once, if any, are worth a shuffle of texts.
+    repeated = stored(found.groupBy(*KEY).count().where("count > 1").select(*KEY))
+    n = repeated.count()
+    if n:
+        repeated = broadcast_if_small(repeated, n).toDF(*keys)
+        once = stays.join(repeated, list(keys), "left_anti")
+        stays = once.union(stays.join(repeated, list(keys), "left_semi").select(*once.columns).dropDuplicates(list(keys)))
+    return stays.select(*names)
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop(*KEY)
