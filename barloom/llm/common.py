@@ -53,6 +53,30 @@ def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 KEY = ["key_id", "key_hash"]
 
 
+def packed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``key_id``, ``key_hash``, ``body``, and all columns of the row by number: ``_c0``, ``_c1`` and so on.
+
+    Whatever the columns are called, none clashes with a working column.
+    """
+    text = F.col(f"`{text_col}`")
+    return df.select(
+        F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")).alias("key_id"),
+        F.xxhash64(text).alias("key_hash"),
+        text.alias("body"),
+        *[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(df.columns)],
+    )
+
+
+def original(columns: list[str], name: str) -> Column:
+    """A column of the frame that was packed; ``columns`` are its names."""
+    return F.col(f"_c{columns.index(name)}")
+
+
+def unpacked(columns: list[str], **changed: Column) -> list[Column]:
+    """The columns of the frame again, some of them replaced."""
+    return [changed.get(c, original(columns, c)).alias(c) for c in columns]
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written below the cluster's checkpoint folder and read back.
 
@@ -102,11 +126,14 @@ __all__ = [
     "WORD_GAP",
     "broadcast_if_small",
     "keyed",
+    "original",
+    "packed",
     "lower_ascii",
     "read_table",
     "sha256_hex",
     "sliding",
     "stored",
+    "unpacked",
     "with_once",
     "words_of",
 ]

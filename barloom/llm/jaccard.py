@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from .bpe import slices
-from .common import KEY, broadcast_if_small, keyed, stored
+from .common import KEY, broadcast_if_small, keyed, packed, stored, unpacked
 from .graph import components
 
 WORDS = 5
@@ -298,20 +298,15 @@ def keep_one(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", *
     kept = found.where("n_shingles > 0 and component_id is not null").groupBy("component_id").agg(least.alias("kept")).select("kept.*")
     rest = found.where("n_shingles = 0 or component_id is null").select("doc_id", *KEY).distinct()
     kept = stored(kept.union(rest).select(*KEY))
-    keys = {
-        "_key_id": F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit("")),
-        "_key_hash": F.xxhash64(F.col(f"`{text}`")),
-    }
-    names = [f"`{c}`" for c in documents.columns]
-    stays = documents.withColumns(keys).join(broadcast_if_small(kept, kept.count()).toDF(*keys), list(keys), "left_semi")
+    stays = packed(documents, doc_id, text).join(broadcast_if_small(kept, kept.count()), KEY, "left_semi")
     # Only keys that occur more than once, if any, are worth a shuffle of texts.
     repeated = stored(found.groupBy(*KEY).count().where("count > 1").select(*KEY))
     n = repeated.count()
     if n:
-        repeated = broadcast_if_small(repeated, n).toDF(*keys)
-        once = stays.join(repeated, list(keys), "left_anti")
-        stays = once.union(stays.join(repeated, list(keys), "left_semi").select(*once.columns).dropDuplicates(list(keys)))
-    return stays.select(*names)
+        repeated = broadcast_if_small(repeated, n)
+        once = stays.join(repeated, KEY, "left_anti")
+        stays = once.union(stays.join(repeated, KEY, "left_semi").select(*once.columns).dropDuplicates(KEY))
+    return stays.select(*unpacked(documents.columns))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import KEY, broadcast_if_small, keyed, stored, with_once
+from .common import KEY, broadcast_if_small, keyed, original, packed, stored, unpacked, with_once
 
 _W = r"\p{L}\p{N}"
 # Kind and pattern, in the order in which they are tried at a place. No capturing groups.
@@ -229,7 +229,7 @@ def _formatted(found: Column, kind: Column, surrogate: Column) -> Column:
 def pseudonymise(
     documents: DataFrame, key: str, doc_id: str = "doc_id", text: str = "text", n_chars: str | None = "n_chars"
 ) -> DataFrame:
-    """``documents`` with entities replaced, and ``pii_counts``, a map of kind to mentions (empty if none).
+    """``documents`` with entities replaced, and ``pii_counts``, a map of kind to mentions.
 
     The same key gives the same surrogates for the same corpus. Null and empty texts stay
     as they are; repeated rows are treated alike. ``n_chars`` (if there is such a column)
@@ -242,44 +242,34 @@ def pseudonymise(
     mentions = with_once(mentions, new=_formatted(F.col("found"), F.col("kind"), F.col("surrogate"))).select("found", "kind", "new")
     placed = found.select(*KEY, "pos", "found", "kind").join(broadcast_if_small(mentions, mentions.count()), ["found", "kind"])
     # A document's own mentions; bounded by its length.
-    placed = stored(placed.groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("pos", "new", "kind"))).alias("_new")))
-    body = F.col(f"`{text}`")
-    keys = {"_key_id": F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit("")), "_key_hash": F.xxhash64(body)}
-    joined = documents.withColumns(keys).join(broadcast_if_small(placed, placed.count()).toDF(*keys, "_new"), list(keys), "left")
-    changed = F.col("_new").isNotNull()
+    placed = stored(placed.groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("pos", "new", "kind"))).alias("new")))
+    joined = packed(documents, doc_id, text).join(broadcast_if_small(placed, placed.count()), KEY, "left")
+    changed = F.col("new").isNotNull()
     joined = with_once(
         joined,
-        _gaps=F.when(changed, F.split(body, _ANY, -1)),
-        _found=F.when(changed, F.regexp_extract_all(body, F.lit(_ANY), F.lit(0))),
-        _by_pos=F.map_from_arrays(F.col("_new.pos"), F.col("_new.new")),
-        _counts=F.coalesce(
-            F.map_from_arrays(
-                F.array(*map(F.lit, KINDS)),
-                F.array(*[_number(k) for k in KINDS]),
-            ),
-            F.create_map().cast("map<string,bigint>"),
-        ),
+        gaps=F.when(changed, F.split("body", _ANY, -1)),
+        found=F.when(changed, F.regexp_extract_all("body", F.lit(_ANY), F.lit(0))),
+        by_pos=F.map_from_arrays(F.col("new.pos"), F.col("new.new")),
+        counts=F.map_from_arrays(F.array(*map(F.lit, KINDS)), F.array(*[_number(k) for k in KINDS])),
     )
     # Gaps and matches take turns; a match without a surrogate stays. There is one gap more.
-    pieces = F.transform("_gaps", lambda g, i: F.concat(g, _piece(i)))
-    left = F.when(changed, F.array_join(pieces, "")).otherwise(body)
-    columns = {text: left}
-    joined = with_once(joined, _left=left)
-    columns = {text: F.col("_left")}
+    pieces = F.transform("gaps", lambda g, i: F.concat(g, _piece(i)))
+    joined = with_once(joined, left=F.when(changed, F.array_join(pieces, "")).otherwise(F.col("body")))
+    columns = {text: F.col("left")}
     if n_chars in documents.columns:
-        kind = documents.schema[n_chars].dataType
-        columns[n_chars] = F.when(changed, F.length("_left").cast(kind)).otherwise(F.col(f"`{n_chars}`"))
-    return joined.select(*[columns.get(c, F.col(f"`{c}`")).alias(c) for c in documents.columns], F.col("_counts").alias("pii_counts"))
+        size = F.length("left").cast(documents.schema[n_chars].dataType)
+        columns[n_chars] = F.when(changed, size).otherwise(original(documents.columns, n_chars))
+    return joined.select(*unpacked(documents.columns, **columns), F.col("counts").alias("pii_counts"))
 
 
 def _piece(i: Column) -> Column:
-    old = F.get("_found", i)
-    return F.coalesce(F.element_at("_by_pos", i), old, F.lit(""))
+    old = F.get("found", i)
+    return F.coalesce(F.try_element_at("by_pos", i), old, F.lit(""))
 
 
 def _number(kind: str) -> Column:
-    return F.when(F.col("_new").isNull(), F.lit(0).cast("bigint")).otherwise(
-        F.size(F.filter("_new", lambda n: n["kind"] == kind)).cast("bigint")
+    return F.when(F.col("new").isNull(), F.lit(0).cast("bigint")).otherwise(
+        F.size(F.filter("new", lambda n: n["kind"] == kind)).cast("bigint")
     )
 
 
