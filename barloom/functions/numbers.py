@@ -11,9 +11,12 @@ def _col(col: Column | str) -> Column:
 def to_double(col: Column | str) -> Column:
     """Text to double; anything that is not a number becomes NULL, NaN included.
 
-    The cast itself ignores surrounding blanks.
+    The cast itself ignores surrounding blanks. It also takes a type letter behind the
+    digits (``12d``), which is no number here.
     """
-    return F.nanvl(_col(col).try_cast("double"), F.lit(None).cast("double"))
+    text = _col(col)
+    suffixed = text.cast("string").rlike(r"[0-9.][dDfF]\s*$")
+    return F.when(~suffixed, F.nanvl(text.try_cast("double"), F.lit(None).cast("double")))
 
 
 def to_long(col: Column | str) -> Column:

@@ -58,6 +58,7 @@ from barloom.operators.quality import (
     duplicate_sources,
     high_water_mark,
     ingest_audit,
+    rejects,
 )
 from barloom.operators.wide import wide_to_long
 

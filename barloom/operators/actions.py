@@ -15,8 +15,8 @@ AMOUNT = r"rs?\s*(\d+(?:\.\d+)?)"
 RATIO = r"(\d+):(\d+)"
 
 # Lenient forms: "Rs. 5.50", "Re 1", "Rs 1,000", "from Rs 10/- to Rs 5/-".
-LENIENT_AMOUNT = r"\b(?:rs|re)\b\.?\s*(\d[\d,]*(?:\.\d+)?)"
-FACE_VALUE = r"\b(?:rs|re)\b\.?\s*(\d+(?:\.\d+)?)\D*?\bto\b\D*?(?:rs|re)\b\.?\s*(\d+(?:\.\d+)?)"
+LENIENT_AMOUNT = r"\b(?:rs|re)\.?\s*(\d[\d,]*(?:\.\d+)?)"
+FACE_VALUE = r"\b(?:rs|re)\.?\s*(\d+(?:\.\d+)?)\D*?\bto\b\D*?(?:rs|re)\.?\s*(\d+(?:\.\d+)?)"
 
 
 def _number(text: Column, pattern: str, group: int = 1) -> Column:

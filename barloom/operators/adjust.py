@@ -208,60 +208,66 @@ def adjusted_prices(
     actions: DataFrame,
     symbols: Iterable[str] | DataFrame | None = None,
     dedupe_actions: bool = False,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    broadcast_bytes: int = 0,
 ) -> DataFrame:
     """Price rows with ADJ_CLOSE_PRICE after CLOSE_PRICE.
 
     A dividend uses the raw close of the day before its ex-date, a split is
     to / from, a bonus is to / (from + to); multipliers that are not positive
     are ignored. ``dedupe_actions`` keeps one action per symbol, date and type.
-    The size of the steps is measured by a small job over the actions; above
-    ``broadcast_bytes`` the plan by days is used.
+
+    Prices are cut to one row per symbol and day; windows over these rows and the
+    actions, all in one partitioning, give the factors, which a join takes back. With
+    ``broadcast_bytes`` the steps between actions are measured by a small job and, if
+    they fit, broadcast instead; that pays where actions are few beside the prices.
     """
     prices = only_symbols(prices, symbols, "SYMBOL")
     actions = only_symbols(actions, symbols, "symbol")
     if dedupe_actions:
         actions = unique_actions(actions)
     acts = _effective(actions)
-    bits = choose_bucket_bits(acts.select(*EVENT).distinct(), broadcast_bytes)
+    bits = choose_bucket_bits(acts.select(*EVENT).distinct(), broadcast_bytes) if broadcast_bytes else None
+    if bits is None:
+        joined = prices.join(day_factors(prices, acts), ["SYMBOL", "DATE1"], "left")
+        return joined.select(*_with_adjusted(prices, F.col("factor")))
 
     paying = acts.where(F.col("cash").isNotNull()).select(*EVENT).distinct()
     multipliers = _event_multipliers(acts, previous_closes(prices, paying, bits))
 
-    if bits is not None:
-        later_or_same = (
-            Window.partitionBy("symbol")
-            .orderBy(F.desc("ex_date"))
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        )
-        steps = _steps(multipliers.select(*EVENT, F.product("m").over(later_or_same).alias("factor")))
-        joined = _join_steps(prices, steps, bits, "factor")
-        return joined.select(*_with_adjusted(prices, F.col("factor")))
-
-    factors = day_factors(prices, multipliers)
-    joined = prices.join(factors, ["SYMBOL", "DATE1"], "left")
+    later_or_same = (
+        Window.partitionBy("symbol")
+        .orderBy(F.desc("ex_date"))
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    steps = _steps(multipliers.select(*EVENT, F.product("m").over(later_or_same).alias("factor")))
+    joined = _join_steps(prices, steps, bits, "factor")
     return joined.select(*_with_adjusted(prices, F.col("factor")))
 
 
-def day_factors(prices: DataFrame, multipliers: DataFrame) -> DataFrame:
-    """Factor per symbol and trading day, where it is not 1, by a window over days.
+def day_factors(prices: DataFrame, acts: DataFrame) -> DataFrame:
+    """Factor per symbol and trading day, where it is not 1: SYMBOL, DATE1, factor.
 
-    Newest day first, so the frame only grows and each row is added once.
+    One line of trading days and actions per symbol, partitioned once. The first window
+    gives each action the close of the last trading day before it, and so its
+    multiplier; the second the product of all later ones, newest day first, so that
+    both frames only grow. A symbol has one row per day and action, however hot it is.
     """
-    days = prices.select("SYMBOL", "DATE1").distinct().withColumn("m", F.lit(None).cast("double"))
-    line = days.unionByName(
-        multipliers.select(F.col("symbol").alias("SYMBOL"), F.col("ex_date").alias("DATE1"), "m")
-    )
-    later = (
-        Window.partitionBy("SYMBOL")
-        .orderBy(F.desc(F.unix_date("DATE1")))
-        .rangeBetween(Window.unboundedPreceding, -1)
+    days = _one_close(prices.where("DATE1 is not null"), ["SYMBOL", "DATE1"]).select(
+        "SYMBOL", "DATE1", F.struct("close").alias("traded")
     )
-    return (
-        line.withColumn("factor", F.product("m").over(later))
-        .where(F.col("m").isNull() & F.col("factor").isNotNull())
-        .drop("m")
+    line = days.unionByName(
+        acts.select(F.col("symbol").alias("SYMBOL"), F.col("ex_date").alias("DATE1"), "cash", "ratio"),
+        allowMissingColumns=True,
     )
+    day = F.unix_date("DATE1")
+    before = Window.partitionBy("SYMBOL").orderBy(day).rangeBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy("SYMBOL").orderBy(day.desc()).rangeBetween(Window.unboundedPreceding, -1)
+    close = F.last("traded", ignorenulls=True).over(before)["close"]
+    line = line.withColumn("prev", close)
+    m = F.coalesce("ratio", F.try_divide(F.col("prev") - F.col("cash"), F.when(F.col("prev") > 0, F.col("prev"))))
+    line = line.withColumn("m", F.when((m > 0) & (m != 1.0), m))
+    line = line.withColumn("factor", F.product("m").over(later))
+    return line.where(F.col("traded").isNotNull() & F.col("factor").isNotNull()).select("SYMBOL", "DATE1", "factor")
 
 
 def adjustment_impact(adjusted: DataFrame) -> DataFrame:

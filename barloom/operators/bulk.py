@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.functions import clean_header, strip, to_double, trade_date
-from barloom.operators.sizing import BROADCAST_BYTES, fits_broadcast
 
 QUANTITY = "Quantity_Traded"
 PRICE = "Trade_Price__Wght_Avg_Price"
@@ -59,7 +58,6 @@ def bulk_with_prices(
     deals: DataFrame,
     prices: DataFrame,
     series: str | None = None,
-    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Deals left-joined to prices by symbol and day, aggregated to one row per symbol and day.
 
@@ -82,9 +80,6 @@ def bulk_with_prices(
         F.col("DATE1").alias("Date"),
         *[c for c in dict.fromkeys([*averaged, "CLOSE_PRICE", "OPEN_PRICE", "LOW_PRICE"])],
     )
-    keys = deals.select("Symbol", "Date").distinct()
-    if fits_broadcast(keys, broadcast_bytes):
-        market = market.join(F.broadcast(keys), ["Symbol", "Date"], "left_semi")
 
     def share(condition):
         return F.avg(F.when(condition, 1.0).otherwise(0.0))

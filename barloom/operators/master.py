@@ -64,8 +64,11 @@ def last_rows(master: DataFrame, n: int = 10) -> DataFrame:
 
 
 def master_coverage(master: DataFrame) -> DataFrame:
-    """How many securities trade on both exchanges, and on one only."""
-    on_bse, on_nse = F.col("BSE_SYMBOL") != ABSENT, F.col("NSE_SYMBOL") != ABSENT
+    """How many securities trade on both exchanges, and on one only.
+
+    Only the blank means absent; a listed security whose symbol is NULL is listed.
+    """
+    on_bse, on_nse = (~F.col(c).eqNullSafe(ABSENT) for c in ("BSE_SYMBOL", "NSE_SYMBOL"))
     return master.agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(on_bse & on_nse).alias("both_exchanges"),

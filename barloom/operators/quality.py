@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom import schemas as S
@@ -59,12 +59,14 @@ def duplicate_sources(df: DataFrame, keys: list[str], source: str = "SOURCE_FILE
     over very many files needs no large cell.
     """
     per_source = df.groupBy(*keys, source).agg(F.count(F.lit(1)).alias("rows_in_source"))
-    same_key = Window.partitionBy(*keys)
-    return (
-        per_source.withColumn("rows_total", F.sum("rows_in_source").over(same_key))
-        .withColumn("sources", F.count(F.lit(1)).over(same_key))
+    repeated = (
+        per_source.groupBy(*keys)
+        .agg(F.sum("rows_in_source").alias("rows_total"), F.count(F.lit(1)).alias("sources"))
         .where(F.col("rows_total") > 1)
+        .withColumnsRenamed({k: f"__{i}" for i, k in enumerate(keys)})
     )
+    same = [F.col(f"`{k}`").eqNullSafe(F.col(f"__{i}")) for i, k in enumerate(keys)]
+    return per_source.join(repeated, same).select(*per_source.columns, "rows_total", "sources")
 
 
 def ingest_audit(raw: DataFrame) -> DataFrame:
@@ -98,3 +100,12 @@ def coverage_report(prices: DataFrame, actions: DataFrame, deals: DataFrame) ->
     parts = market.unionByName(count_of(actions, "corporate_actions"), allowMissingColumns=True)
     parts = parts.unionByName(count_of(deals, "bulk_deals"), allowMissingColumns=True)
     return parts.agg(*[F.max(c).alias(c) for c in parts.columns])
+
+
+def rejects(raw: DataFrame, source: str = "SOURCE_FILE") -> DataFrame:
+    """Rows of full-format text that no table takes: source, reason, rows; aggregated where they are read."""
+    blank = F.lit(False)
+    for name in ("SYMBOL", "SERIES"):
+        blank = blank | (F.coalesce(strip(name), F.lit("")) == "")
+    reason = F.when(blank, "blank key").when(trade_date("DATE1").isNull(), "unreadable date")
+    return raw.groupBy(source, reason.alias("reason")).agg(F.count(F.lit(1)).alias("rows")).where("reason is not null")

@@ -15,7 +15,7 @@ def wide_to_long(
 
     ``tickers`` maps symbol to ticker; of several symbols with one ticker the
     first is used. Tickers without columns are left out, as are rows without a
-    close. Each input row is exploded where it is, so nothing is exchanged.
+    close. A date that does not parse is NULL. Each input row is exploded where it is, so nothing is exchanged.
     """
     fields = list(
         dict.fromkeys(c.split(separator, 1)[1] for c in wide.columns if separator in c)
@@ -37,7 +37,7 @@ def wide_to_long(
     if not present:
         raise ValueError("no column belongs to any of the tickers")
     rows = wide.select(
-        F.to_date(F.col(f"`{date}`")).alias("DATE1"),
+        F.col(f"`{date}`").try_cast("date").alias("DATE1"),
         F.inline(F.array(*[quotes(t, first_symbol[t]) for t in present])),
     )
     return rows.where(F.col("Close").isNotNull()).select("SYMBOL", "DATE1", *fields)

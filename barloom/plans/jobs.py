@@ -17,6 +17,13 @@ def _or_empty(df: DataFrame | None, spark: SparkSession, schema) -> DataFrame:
     return spark.createDataFrame([], schema) if df is None else df
 
 
+def _report(rejects: DataFrame, path: str | None) -> None:
+    """Add rejects (SOURCE_FILE, reason, rows if there is such a column) to the report."""
+    if path is not None:
+        rows = F.col("rows") if "rows" in rejects.columns else F.lit(None).cast("bigint").alias("rows")
+        sinks.append_report(rejects.select("SOURCE_FILE", "reason", rows), path)
+
+
 def build_price_table(
     spark: SparkSession,
     target: str,
@@ -24,19 +31,26 @@ def build_price_table(
     legacy: Paths | None = None,
     delivery: Paths | None = None,
     export: str | None = None,
+    report: str | None = None,
 ) -> DataFrame:
     """Consolidate all raw files into the price table and return its summary.
 
-    Any of the three inputs may be missing. ``export`` also writes ordered CSV.
+    Any of the three inputs may be missing. ``export`` also writes ordered CSV;
+    ``report`` takes what was left out: files, rows by file and reason.
     """
     full_rows = legacy_rows = delivery_rows = None
     if full is not None:
         raw = sources.read_full_prices(spark, full)
+        _report(ops.rejects(raw), report)
         full_rows = ops.normalize_full(raw, distinct=False).dropna(subset=["DATE1"])
     if legacy is not None:
         raw = sources.read_legacy_prices(spark, legacy)
+        _report(ops.rejects(raw.withColumn("DATE1", F.col("TIMESTAMP"))), report)
+        _report(sources.skipped_files(spark, legacy, S.LEGACY_COLUMNS[:2] + ["TIMESTAMP"], pathGlobFilter=sources.prices.LEGACY_GLOB), report)
         legacy_rows = ops.normalize_legacy(raw, distinct=False).dropna(subset=["DATE1"])
     if delivery is not None:
+        other = sources.delivery_rejects(spark, delivery).select("SOURCE_FILE", F.lit("no delivery record").alias("reason"), F.col("other_lines").alias("rows"))
+        _report(other.where("rows > 0"), report)
         delivery_rows = ops.normalize_delivery(sources.read_delivery(spark, delivery), distinct=False)
     delivery_schema = "SYMBOL string, SERIES string, DELIV_QTY bigint, DELIV_PER double, DATE1 date"
     prices = ops.price_table(
@@ -51,9 +65,13 @@ def build_price_table(
     return ops.dataset_summary(stored)
 
 
-def update_price_table(spark: SparkSession, target: str, files: Paths) -> DataFrame:
-    """Append the rows of new full-format files by key and return the table's summary."""
+def update_price_table(spark: SparkSession, target: str, files: Paths, report: str | None = None) -> DataFrame:
+    """Append the rows of new full-format files by key and return the table's summary.
+
+    ``report`` takes the rows that were left out, by file and reason.
+    """
     raw = sources.read_full_prices(spark, files)
+    _report(ops.rejects(raw), report)
     batch = ops.normalize_full(raw, distinct=False).dropna(subset=["DATE1"])
     sinks.append_prices(spark, target, batch)
     return ops.dataset_summary(sources.read_prices(spark, target))
@@ -169,6 +187,7 @@ def check_histories(
 def days_to_load(spark: SparkSession, prices: str, default_start: str, end: str | None = None) -> DataFrame:
     """Business days after the latest stored day, taken from its newest year only."""
     stored = spark.read.parquet(prices)
-    newest = stored.agg(F.max("YEAR").alias("YEAR"))
-    recent = stored.join(newest, "YEAR", "left_semi")
+    # One value; as a literal it prunes the partitions.
+    newest = stored.agg(F.max("YEAR")).first()[0]
+    recent = stored.where(F.col("YEAR") == F.lit(newest))
     return ops.next_load_days(recent, default_start, end)

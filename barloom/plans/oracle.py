@@ -15,8 +15,8 @@ _KEY = "SYMBOL, SERIES, DATE1"
 
 
 def _parsed(view: str, lenient: bool = False) -> str:
-    amount = r"\b(?:rs|re)\b\.?\s*(\d[\d,]*(?:\.\d+)?)" if lenient else r"rs?\s*(\d+(?:\.\d+)?)"
-    face = r"\b(?:rs|re)\b\.?\s*(\d+(?:\.\d+)?)\D*?\bto\b\D*?(?:rs|re)\b\.?\s*(\d+(?:\.\d+)?)"
+    amount = r"\b(?:rs|re)\.?\s*(\d[\d,]*(?:\.\d+)?)" if lenient else r"rs?\s*(\d+(?:\.\d+)?)"
+    face = r"\b(?:rs|re)\.?\s*(\d+(?:\.\d+)?)\D*?\bto\b\D*?(?:rs|re)\.?\s*(\d+(?:\.\d+)?)"
 
     def number(pattern: str, group: int) -> str:
         return f"try_cast(replace(regexp_extract(p, '{pattern}', {group}), ',', '') as double)"
@@ -288,6 +288,7 @@ _NOT_LOADED = " where DATE1 not in (select DATE1 from loaded_days)"
 ORACLE: dict[str, str] = {
     "adjusted_prices": _adjusted_bars(),
     "adjusted_prices_by_days": _adjusted_bars(),
+    "adjusted_prices_by_steps": _adjusted_bars(),
     "adjusted_prices_deduped": _adjusted_bars("unique_actions"),
     "adjusted_prices_of_symbols": _adjusted_bars(where=f"where p.SYMBOL in ({_BUILDING})"),
     "adjusted_prices_multi_series": _MULTI_SERIES,
@@ -345,6 +346,13 @@ ORACLE: dict[str, str] = {
     select {_KEY}, SOURCE_FILE, count(*) as rows_in_source, max(rows_total) as rows_total, max(sources) as sources
     from file_rows join totals using ({_KEY}) group by {_KEY}, SOURCE_FILE""",
     "ingest_audit": _audit(),
+    "files_delivery": f"with {_RAW}, {_DELIVERY} select * from delivery",
+    "files_reject_report": f"""
+    with {with_clause('full_raw')}
+    select case when coalesce(trim(SYMBOL), '') = '' or coalesce(trim(SERIES), '') = '' then 'blank key'
+                else 'unreadable date' end as reason, count(*) as rows
+    from full_raw
+    where coalesce(trim(SYMBOL), '') = '' or coalesce(trim(SERIES), '') = '' or {_date('DATE1')} is null group by 1""",
     "coverage_report": f"""with {with_clause('market', 'ca_raw', 'bulk_raw')}
     select count(*) as total_records, min(DATE1) as earliest_date, max(DATE1) as latest_date,
       count(distinct SYMBOL) as unique_symbols, (select count(*) from ca_raw) as corporate_actions,

@@ -104,10 +104,16 @@ def adjusted_prices(t: Tables) -> DataFrame:
 
 @query
 def adjusted_prices_by_days(t: Tables) -> DataFrame:
-    """The plan for action tables too large to broadcast."""
+    """The same with the default given: nothing is measured or broadcast."""
     return _adjusted(t, broadcast_bytes=0)
 
 
+@query
+def adjusted_prices_by_steps(t: Tables) -> DataFrame:
+    """The plan for few actions: their steps are measured and broadcast."""
+    return _adjusted(t, broadcast_bytes=ops.adjust.BROADCAST_BYTES)
+
+
 @query
 def adjusted_prices_deduped(t: Tables) -> DataFrame:
     return _adjusted(t, dedupe_actions=True)
@@ -355,8 +361,8 @@ def bulk_with_prices(t: Tables) -> DataFrame:
 
 @query
 def bulk_with_prices_shuffled(t: Tables) -> DataFrame:
-    """The plan for deal tables too large to broadcast."""
-    return rounded(ops.bulk_with_prices(t.deals, t.market, broadcast_bytes=0), *_AVERAGES)
+    """Both sides aggregated by their keys beforehand, so the join sees them partitioned alike."""
+    return rounded(ops.bulk_with_prices(t.deals.hint("shuffle_hash"), t.market), *_AVERAGES)
 
 
 @query
@@ -483,6 +489,26 @@ def files_full_prices(t: Tables) -> DataFrame:
     return ops.normalize_full(sources.read_full_prices(t.spark, paths))
 
 
+@query
+def files_delivery(t: Tables) -> DataFrame:
+    """All delivery rows as one MTO_DDMMYYYY.DAT per day, with preamble and a trailer, read back."""
+    path = scratch_dir(t.spark)
+    raw = t.delivery_raw.withColumn("FILE", F.date_format("DATE1", "'MTO_'ddMMyyyy'.DAT'"))
+    record = F.concat_ws(",", *[F.coalesce(n, F.lit("")) for n in S.DELIVERY_RAW.names])
+    other = ["Security Wise Delivery Position", "10,MTO,01042016,123,2", "Trade Date <01-APR-2016>", "Record Type,Sr No", " "]
+    around = raw.select("FILE").distinct().select(F.explode(F.array(*map(F.lit, other))).alias("value"), "FILE")
+    lines = raw.select(record.alias("value"), "FILE").union(around)
+    lines.repartition("FILE").write.partitionBy("FILE").text(path)
+    return ops.normalize_delivery(sources.read_delivery(t.spark, path, glob="*.txt"))
+
+
+@query
+def files_reject_report(t: Tables) -> DataFrame:
+    """Rows of full-format files that no table takes, by reason."""
+    raw = sources.read_full_prices(t.spark, _csv(t, t.full_raw))
+    return ops.rejects(raw).groupBy("reason").agg(F.sum("rows").alias("rows"))
+
+
 @query
 def files_legacy_prices(t: Tables) -> DataFrame:
     path = _csv(t, t.legacy_raw)

@@ -33,12 +33,14 @@ def write_prices(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a table with at least a schema is stored at ``path``."""
+    """Whether a table with at least a schema is stored at ``path``; other failures are raised."""
     try:
         spark.read.parquet(path)
         return True
-    except AnalysisException:
-        return False
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
 
 
 def append_prices(spark: SparkSession, path: str, batch: DataFrame, keys: list[str] | None = None) -> None:
@@ -49,7 +51,8 @@ def append_prices(spark: SparkSession, path: str, batch: DataFrame, keys: list[s
     """
     keys = keys or S.PRICE_KEY
     if not exists(spark, path):
-        write_prices(keep_first(batch.dropna(subset=keys), keys), path)
+        # Appending also makes the table, and spares rows of a writer that came in between.
+        write_prices(keep_first(batch.dropna(subset=keys), keys), path, mode="append")
         return
     span = batch.agg(F.min("DATE1").alias("lo"), F.max("DATE1").alias("hi")).first()
     if span["lo"] is None:

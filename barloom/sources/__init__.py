@@ -1,6 +1,6 @@
 """Readers of raw files, lists and stored tables."""
 
-from barloom.sources.files import layouts, read_csv_by_name
+from barloom.sources.files import layouts, read_csv_by_name, skipped_files
 from barloom.sources.history import read_histories
 from barloom.sources.lists import (
     read_actions,
@@ -9,6 +9,7 @@ from barloom.sources.lists import (
     read_security_list,
 )
 from barloom.sources.prices import (
+    delivery_rejects,
     read_bse_prices,
     read_delivery,
     read_full_prices,
@@ -17,6 +18,7 @@ from barloom.sources.prices import (
 from barloom.sources.tables import read_action_table, read_prices
 
 __all__ = [
+    "delivery_rejects",
     "layouts",
     "read_action_table",
     "read_actions",
@@ -30,4 +32,5 @@ __all__ = [
     "read_prices",
     "read_securities",
     "read_security_list",
+    "skipped_files",
 ]

@@ -5,16 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.utils import AnalysisException
 
+from barloom.sources.files import read_csv_by_name
+
 
 def _read_list(spark: SparkSession, path: str) -> DataFrame:
     """All-text columns under their stripped header names."""
-    df = spark.read.options(header=True, multiLine=False, escape='"').csv(path)
+    df = spark.read.options(header=True, multiLine=True, escape='"').csv(path)
     return df.toDF(*[c.strip().lstrip("\ufeff") for c in df.columns])
 
 
 def read_actions(spark: SparkSession, path: str) -> DataFrame:
-    """Corporate actions: SYMBOL, EX-DATE, PURPOSE, SERIES."""
-    return _read_list(spark, path).select("SYMBOL", "`EX-DATE`", "PURPOSE", "SERIES")
+    """Corporate actions: SYMBOL, EX-DATE, PURPOSE, SERIES; one file, a folder or a pattern."""
+    columns = ["SYMBOL", "EX-DATE", "PURPOSE", "SERIES"]
+    rows = read_csv_by_name(spark, path, columns, required=columns[:2], multiLine="true", escape='"')
+    return rows.select(*[f"`{c}`" for c in columns])
 
 
 def read_bulk_deals(spark: SparkSession, path: str) -> DataFrame:

@@ -11,25 +11,21 @@ from barloom import schemas as S
 from barloom.functions.dates import BSE_FILE_DATE, DELIVERY_FILE_DATE
 from barloom.sources.files import SOURCE_FILE, Paths, file_name, read_csv_by_name
 
-# File name patterns and the preamble of a delivery file.
+# File name patterns.
 LEGACY_GLOB = "cm*bhav.csv"
 DELIVERY_GLOB = "MTO_*.DAT"
 FULL_GLOB = "*.csv"
 BSE_GLOB = "*.CSV"
 BSE_NAME = r"EQ_ISINCODE_(\d{6})_T0\.CSV"
-PREAMBLE_LINES = 4
-
-# Delivery files up to this size are split in one piece.
-WHOLE_FILE_BYTES = 64 * 1024 * 1024
-
+DELIVERY_NAME = r"MTO_(\d{8})\.DAT"
 
 def read_legacy_prices(
     spark: SparkSession, paths: Paths, header: Sequence[str] | None = None, glob: str = LEGACY_GLOB
 ) -> DataFrame:
     """First daily price format as text; the literal ``NA`` is kept as a symbol.
 
-    Files without a TIMESTAMP column are skipped. Rows with too few fields keep
-    what they have.
+    Files without a TIMESTAMP column are skipped, as ``skipped_files`` tells. Rows with
+    too few fields keep what they have.
     """
     return read_csv_by_name(
         spark,
@@ -37,6 +33,7 @@ def read_legacy_prices(
         S.LEGACY_COLUMNS,
         required=S.LEGACY_COLUMNS[:2] + ["TIMESTAMP"],
         header=header,
+        skip=True,
         pathGlobFilter=glob,
     )
 
@@ -44,60 +41,62 @@ def read_legacy_prices(
 def read_full_prices(
     spark: SparkSession, paths: Paths, header: Sequence[str] | None = None
 ) -> DataFrame:
-    """Full daily price format as text, from directories or from a list of files."""
+    """Full daily price format as text, from directories or from a list of files.
+
+    A file without the key columns in its header, in their exact letter case, is an error.
+    """
     return read_csv_by_name(
         spark, paths, S.PRICES.fieldNames(), required=S.PRICE_KEY, header=header, pathGlobFilter=FULL_GLOB
     )
 
 
-def _delivery_fields(lines: DataFrame) -> DataFrame:
-    fields = F.split("line", ",")
-    return lines.where(F.trim("line") != "").select(
+def _delivery_lines(spark: SparkSession, paths: Paths, glob: str) -> DataFrame:
+    """Non-blank lines as fields, with the date of the file and whether they are detail records."""
+    fields = F.split("value", ",")
+    lines = spark.read.option("pathGlobFilter", glob).text(paths).where(F.trim("value") != "")
+    day = F.regexp_extract(F.col("_metadata.file_path"), DELIVERY_NAME, 1)
+    rows = lines.select(
         *[F.nullif(F.trim(F.get(fields, i)), F.lit("")).alias(n) for i, n in enumerate(S.DELIVERY_RAW.names)],
-        F.try_to_date(F.substring(SOURCE_FILE, 5, 8), DELIVERY_FILE_DATE).alias("DATE1"),
-        SOURCE_FILE,
+        F.try_to_date(day, DELIVERY_FILE_DATE).alias("DATE1"),
+        file_name().alias(SOURCE_FILE),
     )
+    number = r"^[0-9]+$"
+    detail = F.col("RECORD_TYPE").rlike(number) & F.col("SR_NO").rlike(number)
+    return rows.withColumn("detail", F.coalesce(detail, F.lit(False)))
 
 
-def read_delivery(spark: SparkSession, paths: Paths, whole_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
-    """Delivery files as text, with the date of their name.
+def read_delivery(spark: SparkSession, paths: Paths, glob: str = DELIVERY_GLOB) -> DataFrame:
+    """Delivery files as text, with the date in the name of the file or of its folder.
 
-    The preamble is the first four lines, so a file of up to ``whole_bytes``, as
-    daily files are, is one row until it is split. Larger files are scanned by
-    line, in splits of any size: there every line that is not a detail record
-    (numeric record type and serial number) is dropped. The size test prunes the
-    file listing, so each file is read once.
+    Detail records have a numeric record type and a numeric serial number. Every other
+    line is preamble, wherever it stands, so the rows do not depend on a file's size
+    or on where it is split; ``delivery_rejects`` counts what is left out.
     """
-    reader = spark.read.option("pathGlobFilter", DELIVERY_GLOB)
-    size = F.col("_metadata.file_size")
-    whole = (
-        reader.text(paths, wholetext=True)
-        .where(size <= whole_bytes)
-        .select(
-            F.posexplode(F.split("value", "\r\n|\n|\r")).alias("position", "line"),
-            file_name().alias(SOURCE_FILE),
-        )
-        .where(F.col("position") >= PREAMBLE_LINES)
-    )
-    by_line = (
-        reader.text(paths)
-        .where(size > whole_bytes)
-        .select(F.col("value").alias("line"), file_name().alias(SOURCE_FILE))
-    )
-    number = r"^[0-9]+$"
-    details = _delivery_fields(by_line).where(
-        F.col("RECORD_TYPE").rlike(number) & F.col("SR_NO").rlike(number)
+    return _delivery_lines(spark, paths, glob).where("detail").drop("detail")
+
+
+def delivery_rejects(spark: SparkSession, paths: Paths, glob: str = DELIVERY_GLOB) -> DataFrame:
+    """Per file: detail records, and other lines (a whole preamble has four)."""
+    return (
+        _delivery_lines(spark, paths, glob)
+        .groupBy(SOURCE_FILE)
+        .agg(F.count_if("detail").alias("records"), F.count_if(~F.col("detail")).alias("other_lines"))
     )
-    return _delivery_fields(whole).unionByName(details)
 
 
 def read_bse_prices(spark: SparkSession, paths: Paths, header: Sequence[str] | None = None) -> DataFrame:
-    """Price files of the second exchange as text, with the date of their name.
+    """Price files of the second exchange as text, all their columns, with the date of their name.
 
     Other file names leave the date NULL.
     """
     rows = read_csv_by_name(
-        spark, paths, S.BSE_COLUMNS, required=S.BSE_COLUMNS[:1], header=header, pathGlobFilter=BSE_GLOB
+        spark,
+        paths,
+        S.BSE_COLUMNS,
+        required=S.BSE_COLUMNS[:1],
+        header=header,
+        others=True,
+        pathGlobFilter=BSE_GLOB,
     )
     day = F.regexp_extract(SOURCE_FILE, BSE_NAME, 1)
     return rows.withColumn("DATE1", F.try_to_date(day, BSE_FILE_DATE))

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -8,7 +9,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from barloom import schemas as S
 from barloom.operators.normalize import normalize_full
-from barloom.session import checkpoint_dir
 from barloom.sinks.tables import append_prices
 
 
@@ -24,7 +24,8 @@ def stream_full_prices(
 
     Each micro-batch runs the batch append by key, so a replay after a failure
     adds nothing twice. The files must share the layout ``header`` (by default
-    the canonical column order).
+    the canonical column order). Progress is kept beside the target, apart for each
+    source, unless ``checkpoint`` names another folder.
     """
     schema = ", ".join(f"`{name}` string" for name in (header or S.PRICES.fieldNames()))
     reader = spark.readStream.schema(schema).options(
@@ -37,6 +38,8 @@ def stream_full_prices(
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
 
+    progress = hashlib.sha256(source.rstrip("/").encode()).hexdigest()[:16]
+
     def load(batch: DataFrame, _: int) -> None:
         rows = normalize_full(batch, distinct=False).where(F.col("DATE1").isNotNull())
         append_prices(batch.sparkSession, target, rows)
@@ -44,7 +47,7 @@ def stream_full_prices(
     return (
         reader.csv(source)
         .writeStream.foreachBatch(load)
-        .option("checkpointLocation", checkpoint or f"{checkpoint_dir(spark)}/full_prices")
+        .option("checkpointLocation", checkpoint or f"{target.rstrip('/')}.streams/{progress}")
         .trigger(availableNow=True)
         .start()
     )

@@ -47,6 +47,9 @@ def test_parse(spark, text, kind, numbers):
         ("Dividend Rs 1,000.50", (1000.5, 0.0, 0.0, 1.0, 1.0)),
         ("STOCK SPLIT FROM RS 10/- TO RS 5/-", (0.0, 0.0, 0.0, 10.0, 5.0)),
         ("Face Value Split From Rs. 10 To Re. 1", (0.0, 0.0, 0.0, 10.0, 1.0)),
+        ("Dividend Rs10 Per Share", (10.0, 0.0, 0.0, 1.0, 1.0)),
+        ("Split From Rs10/- To Re1/-", (0.0, 0.0, 0.0, 10.0, 1.0)),
+        ("Dividend Per Share 3", (0.0, 0.0, 0.0, 1.0, 1.0)),
     ],
 )
 def test_parse_lenient(spark, text, numbers):

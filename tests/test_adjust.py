@@ -11,7 +11,7 @@ from barloom.operators import adjust
 
 DAY = dt.date(2024, 1, 1)
 
-PLANS = {"steps": {}, "days": {"broadcast_bytes": 0}}
+PLANS = {"steps": {"broadcast_bytes": adjust.BROADCAST_BYTES}, "days": {}}
 
 
 def day(n):

@@ -117,19 +117,18 @@ DEALS = "Symbol string, Date date, Quantity_Traded double, Trade_Price__Wght_Avg
 MARKET = "SYMBOL string, SERIES string, DATE1 date, OPEN_PRICE double, LOW_PRICE double, CLOSE_PRICE double"
 
 
-@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0}])
-def test_bulk(spark, options):
+def test_bulk(spark):
     day = D(2024, 1, 1)
     deals = spark.createDataFrame([("A", day, 100.0, 10.0), ("A", day, 50.0, None), ("B", day, 7.0, 5.0)], DEALS)
     market = spark.createDataFrame(
         [("A", "EQ", day, 10.0, 10.0, 12.0), ("A", "BE", day, 10.0, 9.0, 8.0), ("C", "EQ", day, 1.0, 1.0, 1.0)], MARKET
     )
-    report = {r.Symbol: r for r in ops.bulk_with_prices(deals, market, **options).collect()}
+    report = {r.Symbol: r for r in ops.bulk_with_prices(deals, market).collect()}
     a, b = report["A"], report["B"]
     assert (a.Quantity_Traded, a.Trade_Price_Avg_Price, a.CLOSE_PRICE) == (300.0, 10.0, 10.0)
     assert (a.is_greater, a.is_open_equal_low) == (0.5, 0.5)
     assert (b.Quantity_Traded, b.CLOSE_PRICE, b.is_greater, b.is_open_equal_low) == (7.0, None, 0.0, 0.0)
-    one = {r.Symbol: r for r in ops.bulk_with_prices(deals, market, series="EQ", **options).collect()}
+    one = {r.Symbol: r for r in ops.bulk_with_prices(deals, market, series="EQ").collect()}
     assert one["A"].Quantity_Traded == 150.0
 
 
@@ -162,7 +161,7 @@ def test_master(spark, rows):
         ("I4", " ", "500004", "Delta Ltd"),
         ("I5", "Z", " ", "Zed"),
     ]
-    assert tuple(ops.master_coverage(master).first()) == (5, 2, 1, 1)
+    assert tuple(ops.master_coverage(master).first()) == (5, 3, 1, 1)
     assert [r.symbol for r in ops.select_candidates(master, "BSE").collect()] == ["500001", "500002", "500003", "500004"] \
         or ops.select_candidates(master, "BSE").count() == 4
     # Both single-letter symbols and the absent one are too short.
@@ -229,3 +228,27 @@ def test_quality(spark):
     empty = spark.createDataFrame([], S.PRICES)
     assert tuple(ops.dataset_summary(empty).first()) == (0, None, None, 0, 0)
     assert tuple(ops.duplicate_count(empty).first()) == (0, 0)
+
+
+def test_a_type_letter_makes_no_number(spark):
+    from barloom.functions import to_double
+
+    df = spark.createDataFrame([("12d",), ("12f ",), (" 12 ",), ("1e3",), ("x",), (None,)], "v string")
+    assert [r.n for r in df.select(to_double("v").alias("n")).collect()] == [None, None, 12.0, 1000.0, None, None]
+
+
+def test_a_listed_security_without_a_symbol_is_listed(spark):
+    df = spark.createDataFrame([(None, "B"), ("A", " "), (" ", "C"), (None, None)], "BSE_SYMBOL string, NSE_SYMBOL string")
+    assert tuple(ops.master_coverage(df).first()) == (4, 2, 1, 1)
+
+
+def test_a_bad_quote_date_is_null(spark):
+    df = spark.createDataFrame([("2024-01-02", 1.0), ("soon", 2.0)], "Date string, `T|Close` double")
+    found = ops.wide_to_long(df, {"S": "T"}).collect()
+    assert [(r.DATE1, r.Close) for r in found] == [(D(2024, 1, 2), 1.0), (None, 2.0)]
+
+
+def test_rejects(spark):
+    rows = [("A", "EQ", "01-Apr-2020", "f"), ("", "EQ", "x", "f"), ("A", "EQ", "31-Feb-2020", "g"), ("A", None, None, "f")]
+    df = spark.createDataFrame(rows, "SYMBOL string, SERIES string, DATE1 string, SOURCE_FILE string")
+    assert {tuple(r) for r in ops.rejects(df).collect()} == {("f", "blank key", 2), ("g", "unreadable date", 1)}

@@ -33,7 +33,7 @@ def stored(spark, tmp_path):
 
 def test_adjusted_prices_do_not_move_price_rows(spark, stored, tmp_path):
     actions = spark.createDataFrame([], S.ACTIONS)
-    plan = plan_of(ops.adjusted_prices(stored, actions))
+    plan = plan_of(ops.adjusted_prices(stored, actions, broadcast_bytes=ops.adjust.BROADCAST_BYTES))
     wide = [row for row in plan.splitlines() if "FileScan" in row and "TURNOVER_LACS" in row]
     assert len(wide) == 1
     # The wide scan is the streamed side of the top join: no exchange lies between.
@@ -53,6 +53,9 @@ def test_large_action_tables_are_not_broadcast(spark, stored):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "Broadcast" not in plan
+    # Once cut to one close per day, once whole; days and factors stay in one partitioning.
+    assert plan.count("FileScan") == 2
+    assert plan.count("Window ") + plan.count("Window(") >= 2
 
 
 def test_keep_first_limits_before_the_exchange(stored):
@@ -72,7 +75,7 @@ def test_bulk_sides_are_aggregated_before_the_join(spark, stored):
                                                          "Trade_Price__Wght_Avg_Price double")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = plan_of(ops.bulk_with_prices(deals, stored, broadcast_bytes=0))
+        plan = plan_of(ops.bulk_with_prices(deals, stored))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("Exchange hashpartitioning") == 2

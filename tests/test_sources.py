@@ -2,7 +2,10 @@
 
 import datetime as dt
 
+import pytest
+
 from barloom import operators as ops
+from barloom import schemas as S
 from barloom import sources
 
 D = dt.date
@@ -65,8 +68,22 @@ def test_odd_file_names(spark, tmp_path, rows):
 
 def test_no_usable_file(spark, tmp_path):
     folder = write(tmp_path / "full", "a.csv", "nothing\n")
-    df = sources.read_full_prices(spark, folder)
-    assert df.count() == 0 and df.columns[0] == "SYMBOL"
+    with pytest.raises(ValueError, match="no header"):
+        sources.read_full_prices(spark, folder)
+    write(tmp_path / "full", "b.csv", "Symbol,Series,Date1\nA,EQ,01-Apr-2020\n")
+    write(tmp_path / "full", "c.csv", '"SYMBOL","NOTE, more",SERIES,DATE1\nA,"x, y",EQ,01-Apr-2020\n')
+    with pytest.raises(ValueError, match="no header"):
+        sources.read_full_prices(spark, folder)
+    skipped = sources.skipped_files(spark, folder, S.PRICE_KEY)
+    assert skipped.count() == 2
+    (only,) = sources.read_full_prices(spark, str(tmp_path / "full" / "c.csv")).collect()
+    assert (only.SYMBOL, only.SERIES, only.DATE1) == ("A", "EQ", "01-Apr-2020")
+
+
+def test_a_header_that_differs_from_the_given_one_is_an_error(spark, tmp_path):
+    folder = write(tmp_path / "full", "a.csv", "DATE1,SYMBOL,SERIES\n01-Apr-2020,B,EQ\n")
+    with pytest.raises(Exception, match="CSV header"):
+        sources.read_full_prices(spark, folder, header=["SYMBOL", "SERIES", "DATE1"]).collect()
 
 
 DELIVERY = """Security Wise Delivery Position - Compulsory Rolling Settlement
@@ -89,11 +106,14 @@ def test_delivery(spark, tmp_path, rows):
         ("DEF", "UNKNOWN", 0, 0.0, D(2016, 4, 1)),
         ("DEF", "UNKNOWN", 0, 0.0, D(2016, 4, 2)),
     ]
-    # One of the two files is larger than the middle limit.
-    sizes = sorted(f.stat().st_size for f in (tmp_path / "d").iterdir())
-    for limit in (sizes[0] - 1, sizes[0], sizes[1]):
-        df = ops.normalize_delivery(sources.read_delivery(spark, folder, limit))
+    # The rows do not depend on where a file is split, nor on its preamble.
+    for split in ("64", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        df = ops.normalize_delivery(sources.read_delivery(spark, folder))
         assert rows(df, "SYMBOL", "SERIES", "DELIV_QTY", "DELIV_PER", "DATE1") == expected
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    rejected = sources.delivery_rejects(spark, folder)
+    assert rows(rejected, "records", "other_lines") == [(3, 4), (3, 4)]
 
 
 def test_bse(spark, tmp_path, rows):

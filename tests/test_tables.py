@@ -192,3 +192,32 @@ def test_jobs(spark, tmp_path, rows):
 
     cleaned = jobs.process_exchange(spark, str(raw / "full"), "nse_bhav_sec", str(tmp_path / "processed"))
     assert cleaned.count() == 4
+
+
+def test_streams_keep_their_own_progress(spark, tmp_path):
+    one, two = tmp_path / "one", tmp_path / "two"
+    put(one / "a.csv", HEAD + line("A", "01-Apr-2020"))
+    put(two / "b.csv", HEAD + line("B", "02-Apr-2020"))
+    targets = [str(tmp_path / "t1"), str(tmp_path / "t2")]
+    for target in targets:
+        for source in (one, two, one):
+            stream_full_prices(spark, str(source), target).awaitTermination()
+        assert sorted(r.SYMBOL for r in sources.read_prices(spark, target).collect()) == ["A", "B"]
+
+
+def test_build_reports_what_it_leaves_out(spark, tmp_path):
+    put(tmp_path / "full" / "a.csv", HEAD + line("A", "01-Apr-2020") + line("B", "31-Feb-2020") + line("", "01-Apr-2020"))
+    put(tmp_path / "legacy" / "cm1bhav.csv", "SYMBOL,SERIES\nX,EQ\n")
+    report = str(tmp_path / "report")
+    jobs.build_price_table(
+        spark, str(tmp_path / "t"), full=str(tmp_path / "full"), legacy=str(tmp_path / "legacy"), report=report
+    )
+    found = {(r.reason, r.rows) for r in spark.read.option("header", True).csv(report).collect()}
+    assert found == {("unreadable date", "1"), ("blank key", "1"), ("no header with the required columns", None)}
+
+
+def test_other_failures_are_not_absence(spark, tmp_path):
+    put(tmp_path / "t" / "part-0.parquet", "no parquet")
+    with pytest.raises(Exception):
+        sinks.append_prices(spark, str(tmp_path / "t"), prices(spark, ("A", D(2024, 5, 1), 9.0)))
+    assert (tmp_path / "t" / "part-0.parquet").read_text() == "no parquet"
