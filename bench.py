@@ -17,6 +17,7 @@ from barloom.session import build_session
 HEADLINE = [
     "adjusted_prices",
     "adjusted_prices_by_days",
+    "adjusted_prices_by_steps",
     "adjusted_prices_multi_series",
     "parse_actions",
     "normalize_full",
@@ -35,6 +36,10 @@ HEADLINE = [
     "duplicate_count",
     "duplicate_sources",
     "missing_dates",
+    "files_full_prices",
+    "files_actions",
+    "store_prices_appended",
+    "stream_full_prices_loaded",
 ]
 RUNS = 2
 
