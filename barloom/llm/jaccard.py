@@ -49,10 +49,11 @@ def shingle_sets(texts: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.nd
     Words are split at ASCII white space and A-Z lower-cased; a text with fewer words is
     one shingle, one without words has none.
     """
-    parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
+    parts = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
     coded = pc.list_flatten(parts).dictionary_encode()
-    table = coded.dictionary.to_pylist()
-    hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in table), np.uint64, len(table))
+    # Lower-casing bytes changes A-Z only.
+    table = coded.dictionary.cast(pa.large_binary()).to_pylist()
+    hashes = np.fromiter((xxhash.xxh3_64_intdigest(w.lower()) for w in table), np.uint64, len(table))
     codes = coded.indices.to_numpy(zero_copy_only=False)
     real = np.fromiter(map(len, table), np.int64, len(table))[codes] > 0
     bounds = np.concatenate([[0], np.cumsum(real)])[parts.offsets.to_numpy() - parts.offsets[0].as_py()]
