@@ -32,7 +32,8 @@ from .graph import components
 WORDS = 5
 PERCENT = 75
 BUCKET_BITS = 20
-CHUNK = 1500
+# Shingles of a chunk, 16 MB of hashes; a longer set is a chunk of its own.
+CHUNK = 2_000_000
 HOT_ROWS = 20_000
 _ODD = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)]
 
@@ -110,7 +111,7 @@ def _signatures(docs: DataFrame, words: int, bits: int) -> DataFrame:
 
 
 def _candidates(docs: DataFrame, counts: np.ndarray, words: int, percent: int, bits: int) -> DataFrame:
-    """token, node, salt, salts: the rarest shingles of each class, so many that alike sets share one."""
+    """token, node, n, salt, salts: the rarest shingles of each class, so many that alike sets share one."""
     table = docs.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,28 +130,41 @@ def _candidates(docs: DataFrame, counts: np.ndarray, words: int, percent: int, b
                 yield pa.RecordBatch.from_pydict({
                     "token": pa.array(grams[chosen].view(np.int64)),
                     "node": pa.array(node),
+                    "n": pa.array(sizes[owner[chosen]]),
                     "salt": pa.array(node % salts),
                     "salts": pa.array(salts),
                 })
 
-    return docs.mapInArrow(run, "token bigint, node bigint, salt bigint, salts bigint")
+    return docs.mapInArrow(run, "token bigint, node bigint, n bigint, salt bigint, salts bigint")
 
 
-def _chains(tokens: DataFrame) -> DataFrame:
-    """Links a, b that connect all nodes of each token: neighbours by node, in salted runs if it is hot."""
-    order = Window.partitionBy("token", "salt").orderBy("node")
-    runs = tokens.withColumn("before", F.lag("node").over(order))
-    links = runs.where("before is not null").select(F.col("before").alias("a"), F.col("node").alias("b"))
-    heads = tokens.where("salts > 1").groupBy("token", "salt").agg(F.min("node").alias("node"))
-    order = Window.partitionBy("token").orderBy("salt")
-    over = heads.withColumn("before", F.lag("node").over(order)).where("before is not null")
-    return links.union(over.select(F.col("before").alias("a"), F.col("node").alias("b"))).distinct()
+def _chains(tokens: DataFrame, percent: int) -> DataFrame:
+    """Links a, b that connect all nodes of a token that may be alike.
+
+    By size, each node is linked to the one before it. Where two neighbours differ too much
+    in size, so do all pairs across this gap, and there is no link. A hot token is cut into
+    salted runs, which are linked at their heads whatever the sizes.
+    """
+    order = Window.partitionBy("token", "salt").orderBy("n", "node")
+    runs = tokens.withColumn("before", F.lag("node").over(order)).withColumn("before_n", F.lag("n").over(order))
+    hot = F.col("salts") > 1
+    linked = F.col("before").isNotNull() & (hot | (100 * F.col("before_n") >= percent * F.col("n")))
+    head = hot & F.col("before").isNull()
+    kept = stored(
+        runs.where(linked | head)
+        .select(F.when(linked, F.col("before")).alias("a"), F.col("node").alias("b"), F.when(head, F.col("token")).alias("token"), F.when(head, F.col("salt")).alias("salt"))
+        .distinct()
+    )
+    over = Window.partitionBy("token").orderBy("salt")
+    heads = kept.where("token is not null").select(F.lag("b").over(over).alias("a"), "b")
+    return kept.where("a is not null").select("a", "b").union(heads.where("a is not null")).distinct()
 
 
 def _tiles(blocks: DataFrame, percent: int, chunk: int) -> DataFrame:
     """(node, tiles): for each class the tiles it is in, as block, low chunk, high chunk, own chunk."""
     by_size = Window.partitionBy("root").orderBy("n", "node")
-    ranked = blocks.withColumn("chunk", F.floor((F.row_number().over(by_size) - 1) / chunk).cast("int"))
+    before = F.coalesce(F.sum("n").over(by_size.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = blocks.withColumn("chunk", F.floor(before / chunk).cast("int"))
     spans = stored(ranked.groupBy("root", "chunk").agg(F.min("n").alias("least"), F.max("n").alias("most")))
     a = spans.select("root", F.col("chunk").alias("low"), F.col("most").alias("low_most"))
     b = spans.select("root", F.col("chunk").alias("high"), F.col("least").alias("high_least"))
@@ -274,7 +288,7 @@ def near_duplicates(
     )
     n_classes = classes.count()
     chosen = docs.select(*KEY, "body").join(broadcast_if_small(classes.select(*KEY, "node", "n"), n_classes), KEY)
-    candidates = stored(_chains(_candidates(chosen.select("body", "node"), table, words, percent, bucket_bits)))
+    candidates = _chains(_candidates(chosen.select("body", "node"), table, words, percent, bucket_bits), percent)
     blocks = components(candidates).join(classes.select("node", "n"), "node")
     tiles = stored(_tiles(stored(blocks), percent, chunk).join(classes.select("node", *KEY), "node"))
     rows = docs.select(*KEY, "body").join(broadcast_if_small(tiles, tiles.count()), KEY)

@@ -191,7 +191,7 @@ def brute_components(rows):
     return [(i, len(s), least.get(r)) for (i, _), s, r in zip(rows, sets, root)]
 
 
-@pytest.mark.parametrize("chunk", [2, 1500])
+@pytest.mark.parametrize("chunk", [80, 2_000_000])
 def test_jaccard(spark, documents, chunk):
     found = jaccard.near_duplicates(documents, chunk=chunk)
     assert rows_of(found, "doc_id", "n_shingles", "component_id") == Counter(brute_components(TEXTS))
@@ -210,7 +210,7 @@ def test_jaccard_of_edited_copies(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
     expected = Counter(brute_components(rows))
     assert len({r[2] for r in expected}) < len(rows)
-    for chunk in (4, 1500):
+    for chunk in (200, 2_000_000):
         assert rows_of(jaccard.near_duplicates(df, chunk=chunk), "doc_id", "n_shingles", "component_id") == expected
 
 
