@@ -30,7 +30,7 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(least, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
         edges = stored(small.where("u <> v").distinct())
         state = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if state == before:
+        if state == before or not state[0]:
             break
         before = state
     roots = edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
