@@ -19,7 +19,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def fuzzy_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One occurrence of each group of like lines stays; documents left without text go."""
-    return line_dedup.dedup_lines(docs)
+    return line_dedup.dedup_lines(docs, short_lines=True)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

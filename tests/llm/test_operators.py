@@ -285,6 +285,15 @@ def test_fuzzy_lines(spark):
     assert {r.doc_id: r.n_removed for r in line_dedup.summarise(df).collect()} == {1: 0, 2: 1, 3: 0}
 
 
+def test_short_lines(spark):
+    """A full copy goes with all its lines, be they short, without blanks or of marks only."""
+    text = "Enöü und.\n\n***\n12 34\n東京都の天気は晴れです\nฉันรักภาษาไทย\nA line of some more words."
+    df = spark.createDataFrame([(1, text), (2, text), (3, "Enöü und!\nA line that stands here only.")], "doc_id bigint, text string")
+    found = {r.doc_id: r.removed for r in line_dedup.summarise(df, short_lines=True).collect()}
+    assert found == {1: "", 2: "0,2,3,4,5,6", 3: "0"}
+    assert {r.doc_id for r in line_dedup.dedup_lines(df, short_lines=True).collect()} == {1, 3}
+
+
 # Personal data ------------------------------------------------------------------------
 
 
