@@ -294,6 +294,14 @@ def test_short_lines(spark):
     assert {r.doc_id for r in line_dedup.dedup_lines(df, short_lines=True).collect()} == {1, 3}
 
 
+def test_lines_that_differ_in_figures(spark):
+    """Figures count as letters do: many other ones make another line, one digit of a long line does not."""
+    lines = ["Net sales in 2019 were 17 million", "Net sales in 2023 were 4052 million", "Total number of delivered units was 1234567", "Total number of delivered units was 1234568"]
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id bigint, text string")
+    assert {r.doc_id: r.n_removed for r in line_dedup.summarise(df, short_lines=True).collect()} == {0: 0, 1: 0, 2: 0, 3: 1}
+    assert line_dedup.dedup_lines(df).count() == 3
+
+
 # Personal data ------------------------------------------------------------------------
 
 
