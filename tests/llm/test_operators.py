@@ -302,6 +302,44 @@ def test_lines_that_differ_in_figures(spark):
     assert line_dedup.dedup_lines(df).count() == 3
 
 
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def test_fuzzy_recall(spark):
+    """Edited copies that brute force holds to be 90 % alike, by words of the line and share of edits."""
+    rng = np.random.default_rng(3)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    vocabulary = ["".join(rng.choice(letters, rng.integers(2, 11))) for _ in range(1000)]
+    weights = 1 / np.arange(1, 1001)
+    rows, alike = [], defaultdict(list)
+    for low, high in [(2, 4), (4, 8), (8, 16), (16, 32), (32, 64), (64, 90), (0, 0)]:
+        for share in (0, 0.05, 0.1):
+            for _ in range(20):
+                if high:
+                    base = " ".join(rng.choice(vocabulary, rng.integers(low, high), p=weights / weights.sum()))
+                else:
+                    base = "".join(chr(0x4E00 + int(n)) for n in rng.integers(0, 2000, rng.integers(15, 90)))
+                text = list(base)
+                for _ in range(max(1, int(len(base) * share))):
+                    text[rng.integers(len(text))] = rng.choice(letters) if high else "丁"
+                text = "".join(text)
+                if text != base and 10 * edit_distance(base, text) <= max(len(base), len(text)):
+                    alike[low, share].append(len(rows) + 1)
+                    rows += [(len(rows), base), (len(rows) + 1, text)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    gone = {r.doc_id for r in line_dedup.summarise(df, short_lines=True).where("n_removed > 0").collect()}
+    for (words, share), ids in alike.items():
+        assert len(gone & set(ids)) >= (0.8 if share == 0.1 else 0.95) * len(ids), (words, share)
+    assert sum(i in gone for ids in alike.values() for i in ids) >= 0.95 * sum(map(len, alike.values()))
+
+
 # Personal data ------------------------------------------------------------------------
 
 
