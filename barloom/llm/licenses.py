@@ -5,7 +5,9 @@
    diagonal ``p - t``. Votes are added up before they are exchanged.
 2. Neighbouring diagonals of a template are merged, so that a copy with a few words
    put in or left out still counts as one.
-3. What has enough votes is cut out of the document and compared word by word.
+3. What has enough votes is cut out of the document and compared word by word; words of
+   a template that tell it from others (``TELLING``) must be there.
+4. Of templates whose spans overlap, the one with most matched words stays.
 
 Templates are a fixed table of a few hundred words, so broadcasting it is bounded.
 """
@@ -24,6 +26,8 @@ GAP = 2  # diagonals this near belong together
 LEAST_COVERAGE = 0.8
 # Versions differ in one word, so a template shorter than this needs all its words.
 SHORT = 15
+# Whatever the share, a template with one of these words needs it.
+TELLING = ["apache", "mozilla", "lesser", "library", "affero", "2", "3", "4"]
 
 # Phrases that count wherever their words stand consecutively, and their labels.
 PHRASES = [
@@ -45,6 +49,10 @@ TEXTS = [
      " the Free Software Foundation", "gpl"),
     ("you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published"
      " by the Free Software Foundation", "lgpl"),
+    ("you can redistribute it and/or modify it under the terms of the GNU Library General Public License as published"
+     " by the Free Software Foundation", "lgpl"),
+    ("you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published"
+     " by the Free Software Foundation", "agpl"),
     ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0", "mpl-2"),
     ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby"
      " granted", "isc"),
@@ -52,6 +60,9 @@ TEXTS = [
     ("licensed under a Creative Commons Attribution-NonCommercial 4.0 International License", "cc-by-nc"),
     ("licensed under a Creative Commons Attribution-ShareAlike 4.0 International License", "cc-by-sa"),
     ("licensed under a Creative Commons Attribution 4.0 International License", "cc-by"),
+    ("licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License", "cc-by-nd"),
+    ("licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License", "cc-by-nc-sa"),
+    ("licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License", "cc-by-nc-nd"),
     ("Licensed under CC BY-SA 4.0", "cc-by-sa"),
 ]
 
@@ -85,7 +96,8 @@ def scan(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", known
 
     Null and empty texts have no words and no span. An exact template needs all its words
     in a row; of any other, the share ``LEAST_COVERAGE`` on one diagonal or its
-    neighbours. Repeated rows are scanned as one and counted in ``copies``.
+    neighbours, and its ``TELLING`` words. Of these others no two spans of a document
+    overlap. Repeated rows are scanned as one and counted in ``copies``.
     """
     spark = documents.sparkSession
     known = templates(spark) if known is None else known
@@ -136,12 +148,27 @@ def scan(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", known
     parts = with_once(parts.join(F.broadcast(known), "template"), hits=_hits())
     share = F.size("hits") / F.size("words")
     least = F.when(F.col("exact") | (F.size("words") < SHORT), 1.0).otherwise(LEAST_COVERAGE)
-    spans = parts.where(share >= least).select(
+    telling = F.array_intersect("words", F.array(*map(F.lit, TELLING)))
+    matched = F.transform("hits", lambda p: F.get("part", p - F.col("low")))
+    verified = stored(parts.where((share >= least) & (F.size(F.array_except(telling, matched)) == 0)).select(
         *KEY, "template", "label", "exact",
         F.array_min("hits").cast("bigint").alias("first_word"),
         F.array_max("hits").cast("bigint").alias("last_word"),
         share.alias("coverage"),
-    )
+        F.size("hits").alias("matched"),
+    ))
+    names = ["template", "label", "exact", "first_word", "last_word", "coverage"]
+    # Best first: most matched words, then fewest missing ones, then fewest others between them.
+    ranked = F.struct((-F.col("matched")).alias("m"), (-F.col("coverage")).alias("c"), (F.col("last_word") - F.col("first_word")).alias("w"), *names)
+    by_doc = verified.where("not exact").groupBy(*KEY).agg(F.sort_array(F.collect_list(ranked)).alias("ranked"))
+    none = F.slice("ranked", 1, 0)
+
+    def better_first(kept: Column, s: Column) -> Column:
+        overlaps = F.exists(kept, lambda k: (k["first_word"] <= s["last_word"]) & (s["first_word"] <= k["last_word"]))
+        return F.when(overlaps, kept).otherwise(F.concat(kept, F.array(s)))
+
+    best = by_doc.select(*KEY, F.inline(F.aggregate("ranked", none, better_first))).select(*KEY, *names)
+    spans = verified.where("exact").select(*KEY, *names).union(best)
     return rows, spans
 
 

@@ -450,3 +450,21 @@ def test_license_texts(spark):
     found = {r.doc_id: (r.labels, r.score, r.n_base) for r in licenses.label(df).collect()}
     assert found[0] == ("mit", 1.0, 0) and found[2] == ("", 0.0, 0) and found[3] == ("gpl-3", 1.0, 0)
     assert found[1][0] == "mit" and 0.8 <= found[1][1] <= 1.0
+
+
+def test_licenses_that_are_alike(spark):
+    """One label per notice, and none where the words that tell licenses apart are missing."""
+    gnu = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation; either version 2."
+    mpl = "The contents of this file are subject to the Mozilla Public License Version 1.1; you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.mozilla.org/MPL/"
+    apache = licenses.TEXTS[1][0]
+    cc = "This work is licensed under a Creative Commons Attribution{} 4.0 International License."
+    form = "This Source Code Form is subject to the terms of the Mozilla Public License, v. {}"
+    cases = [
+        (gnu.format(""), "gpl"), (gnu.format("Lesser "), "lgpl"), (gnu.format("Library "), "lgpl"), (gnu.format("Affero "), "agpl"),
+        (mpl, ""), (apache, "apache-2"), (apache.replace("may obtain", "can obtain"), "apache-2"),
+        (form.format("2.0"), "mpl-2"), (form.format("1.1"), ""),
+        (cc.format(""), "cc-by"), (cc.format("-NonCommercial"), "cc-by-nc"), (cc.format("-NonCommercial-ShareAlike"), "cc-by-nc-sa"),
+        (gnu.format("") + "\n" + BASE + "\n" + gnu.format("Lesser "), "gpl,lgpl"),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id bigint, text string")
+    assert {r.doc_id: r.labels for r in licenses.label(df).collect()} == {i: e for i, (_, e) in enumerate(cases)}
