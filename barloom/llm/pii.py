@@ -20,6 +20,13 @@ from pyspark.sql import functions as F
 from .common import KEY, broadcast_if_small, keyed, original, packed, stored, unpacked, with_once
 
 _W = r"\p{L}\p{N}"
+_TITLES = (
+    r"Mrs|Mr|Ms|Miss|Dr|Prof|Herr|Frau|Fräulein|Monsieur|Madame|Mademoiselle|Mme|Mlle|M\."
+    r"|Señorita|Señora|Señor|Srta|Sra|Sr|г-н|г-жа"
+)
+# A capitalised word (McDonald, O'Brien, SMITH) or an initial, but no title.
+_PART = rf"(?!(?:{_TITLES})\.? )\p{{Lu}}(?:\.(?= \p{{Lu}})|[\p{{L}}\p{{M}}]*(?:['’]\p{{Lu}}[\p{{L}}\p{{M}}]*)*)"
+_PARTICLE = r"(?:(?:von|van|der|den|zu|de|del|della|di|da|du|dos|la|le|y) )"
 # Kind and pattern, in the order in which they are tried at a place. No capturing groups.
 PATTERNS = {
     "email": rf"(?<![{_W}._%+-])[{_W}._%+-]+@[{_W}-]+(?:\.[{_W}-]+)*\.\p{{L}}{{2,}}",
@@ -31,20 +38,22 @@ PATTERNS = {
     ),
     "card": r"(?<!\d)(?:\d{13,19}|(?:\d{4}[ -]){3}\d{4}|\d{4}[ -]\d{6}[ -]\d{5})(?!\d)",
     "name": (
-        r"(?<![\p{L}\d])(?:Mr|Mrs|Ms|Miss|Herr|Frau|Monsieur|Madame|Señor|Señora|г-н|г-жа)\.? "
-        r"\p{Lu}\p{Ll}+(?:[ -]\p{Lu}\p{Ll}+)?"
+        rf"(?<![\p{{L}}\d])(?:{_TITLES})\.? {_PARTICLE}*{_PART}(?:[ -]{_PARTICLE}*{_PART}){{0,3}}"
     ),
 }
 KINDS = list(PATTERNS)
 _ANY = "|".join(PATTERNS.values())
-_TITLE = r"^(Mr|Mrs|Ms|Miss|Herr|Frau|Monsieur|Madame|Señor|Señora|г-н|г-жа)\.? "
-_FEMALE = r"^(Mrs|Ms|Miss|Frau|Madame|Señora|г-жа)\b"
+_TITLE = rf"^({_TITLES})\.? "
+_FEMALE = r"^(Mrs|Ms|Miss|Frau|Fräulein|Madame|Mademoiselle|Mme|Mlle|Señorita|Señora|Srta|Sra|г-жа)[. ]"
+_EITHER = r"^(Dr|Prof)[. ]"
 
 # Given names by gender and script, and syllables of surnames by script.
 _GIVEN = {
     ("m", "latin"): "Adam Bruno Carl David Emil Felix Georg Hugo Ivan Jonas Karl Leon Martin Niklas Oscar Paul".split(),
     ("f", "latin"): "Anna Berta Clara Diana Emma Flora Greta Helena Irene Julia Klara Laura Maria Nora Olga Paula".split(),
+    ("x", "latin"): "Alex Andrea Billie Charlie Chris Dominique Jamie Jean Kim Luca Maxime Robin Sam Sascha Toni Vivian".split(),
     ("m", "cyrillic"): "Антон Борис Виктор Глеб Денис Егор Иван Кирилл Леонид Максим Никита Олег Павел Роман Семён Юрий".split(),
+    ("x", "cyrillic"): "Валя Женя Слава Саша Паша Тоня Шура Вася Мила Лера Стася Рена Юля Ника Миша Лёля".split(),
     ("f", "cyrillic"): "Анна Вера Галина Дарья Елена Жанна Зоя Ирина Лидия Мария Нина Ольга Полина Раиса София Юлия".split(),
 }
 _SYLLABLES = {
@@ -90,7 +99,7 @@ def entities(docs: DataFrame) -> DataFrame:
 def _canonical(rows: DataFrame) -> DataFrame:
     """Adds ``form``: what all mentions of one entity have in common."""
     name = F.concat(
-        F.when(F.col("found").rlike(_FEMALE), "f").otherwise("m"),
+        F.when(F.col("found").rlike(_FEMALE), "f").when(F.col("found").rlike(_EITHER), "x").otherwise("m"),
         F.when(F.col("found").rlike(r"\p{IsCyrillic}"), "|cyrillic|").otherwise("|latin|"),
         F.regexp_replace(F.regexp_replace("found", _TITLE, ""), "-", " "),
     )
@@ -216,7 +225,7 @@ def _formatted(found: Column, kind: Column, surrogate: Column) -> Column:
         )
 
     title = F.regexp_extract(found, _TITLE, 0)
-    sign = F.when(found.rlike(r"\p{Ll}-\p{Lu}"), "-").otherwise(" ")
+    sign = F.when(F.regexp_replace(found, _TITLE, "").rlike(r"^\S+-\S+$"), "-").otherwise(" ")
     name = F.concat(title, F.replace(F.regexp_replace(surrogate, r"^.\|\w+\|", ""), F.lit(" "), sign))
     return (
         F.when(kind.isin("phone", "card", "ssn"), F.aggregate(F.split(found, ""), start, put)["out"])

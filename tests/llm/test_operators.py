@@ -373,6 +373,21 @@ def test_pii(spark):
     assert {r.doc_id: r.text for r in pii.pseudonymise(df, "key").collect()} == {i: r.text for i, r in rows.items()}
 
 
+def test_name_shapes(spark):
+    """A titled name goes as a whole, in the shapes of the documents' languages."""
+    names = [
+        "Mr John Paul Smith", "Mr McDonald", "Mr O'Brien", "Dr. Anna Berger", "Prof. Karl von Linden", "Sr. Juan de la Cruz", "Sra. Ana Ruiz",
+        "Mme Claire Dubois", "M. Jean-Luc Moreau", "Mr John F. Kennedy", "Mr Smith-Jones", "Mrs SMITH",
+    ]
+    df = spark.createDataFrame([(i, f"so {n} said.") for i, n in enumerate(names)] + [(99, "Mr Ben Hill Mrs Eva Hill went")], "doc_id bigint, text string")
+    rows = {r.doc_id: r for r in pii.pseudonymise(df, "key").collect()}
+    for i, name in enumerate(names):
+        title, rest = name.split(" ", 1)
+        assert re.fullmatch(rf"so {re.escape(title)} \w+([ -]\w+)? said\.", rows[i].text), rows[i].text
+        assert rows[i].pii_counts["name"] == 1 and not [w for w in re.findall(r"\w{3,}", rest) if w in rows[i].text.split()]
+    assert rows[99].pii_counts["name"] == 2 and rows[99].text.endswith(" went")
+
+
 def test_surrogates_are_distinct(spark):
     """Far more short addresses than the first draw has room for."""
     forms = [("email", f"{a}{b}@x.example.com") for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrst"]
