@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, jaccard, licenses, line_dedup, pii, quality, secret_scan, token_counts, token_files
+from . import (
+    bpe,
+    decontaminate,
+    jaccard,
+    kneser_ney,
+    licenses,
+    line_dedup,
+    pii,
+    prefix_trie,
+    quality,
+    secret_scan,
+    token_counts,
+    token_files,
+    whitening,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": decontaminate.query,
@@ -19,6 +33,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": quality.query,
     "op9_secrets": secret_scan.query,
     "op10_licenses": licenses.query,
+    "op11_whitening": whitening.query,
+    "op12_prefix_trie": prefix_trie.query,
+    "op13_kneser_ney": kneser_ney.query,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
