@@ -38,11 +38,12 @@ from pyspark.sql import functions as F
 from barloom.session import scratch_dir
 
 from .bpe import slices
-from .common import read_table, stored
+from .common import read_table
 
 FOLDS = 10  # one of these is held out
-SLICE_BYTES = 24_000_000  # text that a task counts at once
-SHARD_BYTES = 32_000_000  # training text for each shard of pairs
+SLICE_BYTES = 16_000_000  # text that a task counts at once
+SCORE_BYTES = 8_000_000  # text that a task scores at once
+SHARD_BYTES = 8_000_000  # training text for each shard of pairs
 END, BEGIN = np.uint64(1), np.uint64(2)
 _ODD = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)]
 _WORD_FIELDS = ["count", "before", "total", "ones", "twos", "more"]
@@ -260,12 +261,13 @@ def _local(path: str) -> str:
     return unquote(parsed.path)
 
 
-def _files(rows: DataFrame, name: str, shards: int, width: int, folder: str) -> tuple[Sorted, list[int]]:
-    """The arrays that the rows tell of, and the sums of their ``told`` numbers; one small row per shard."""
+def _files(rows: list, name: str, shards: int, width: int, folder: str) -> tuple[Sorted, list[int]]:
+    """The arrays that the rows tell of, and the sums of their ``told`` numbers."""
     types, told = {}, None
-    for row in rows.select("shard", "types", "told").collect():
-        types[row.shard] = row.types
-        told = list(row.told) if told is None else [a + b for a, b in zip(told, row.told)]
+    for row in rows:
+        if row["name"] == name:
+            types[row.shard] = row.types
+            told = list(row.told) if told is None else [a + b for a, b in zip(told, row.told)]
     return Sorted(folder, name, shards, types, width), told
 
 
@@ -285,10 +287,11 @@ def train(texts: DataFrame, text: str = "text", slice_bytes: int = SLICE_BYTES,
         for batch in batches:
             for rows in slices(batch, "body", slice_bytes):
                 hashes, codes, _ = _pairs(rows.column("body"))
-                codes = np.sort(codes)
+                codes.sort()
                 first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
                 n = np.diff(np.append(first, len(codes))).astype(np.uint32)
-                before, token = hashes[codes[first] >> 32], hashes[codes[first] & 0xFFFFFFFF]
+                codes = codes[first]
+                before, token = hashes[codes >> 32], hashes[codes & 0xFFFFFFFF]
                 shard = _shard(pair_hash(before, token), shards)
                 # Contexts as runs: sorted by shard (a stable sort keeps the order by context).
                 order = np.argsort(shard.astype(np.uint16) if shards < 65536 else shard, kind="stable")
@@ -324,39 +327,44 @@ def train(texts: DataFrame, text: str = "text", slice_bytes: int = SLICE_BYTES,
             wide = {name: f.astype(np.uint64) for name, f in zip(_WORD_FIELDS, fields)}
             out = _packed_rows(_shard(_word_key(known), word_shards), {"word": known, **wide})
             n_out = out.num_rows
-            lists = [pa.array([",".join(f"{k}:{m}" for k, m in types)] + [None] * n_out), pa.array([told] + [None] * n_out, pa.list_(pa.int64()))]
+            line = ",".join(f"{k}:{m}" for k, m in types)
+            lists = [pa.array([line] + [None] * n_out, pa.string()), pa.array([told] + [None] * n_out, pa.list_(pa.int64()))]
             head = [pa.array([shard], pa.int64()), *(pa.nulls(1, pa.binary()) for _ in out.columns[1:])]
             body = [pa.concat_arrays([h, o]) for h, o in zip(head, out.columns)]
             yield pa.RecordBatch.from_arrays([*body, *lists], [*out.schema.names, "types", "told"])
 
     def add_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, rows in _by_shard(batches):
+            pairs = rows.filter(pc.is_valid(rows["types"])).select(["shard", "types", "told"])
+            names = pa.array(["pairs"] * len(pairs), pa.string())
+            yield from pairs.append_column("name", names).combine_chunks().to_batches()
             keys = _word_key(_unpacked(rows["word"].combine_chunks(), "<u8"))
             keys, sums = _sums(keys, [_unpacked(rows[f].combine_chunks(), "<u8") for f in _WORD_FIELDS])
             types = _write(folder, f"words-{shard}", [keys, *map(_narrow, sums)])
             n, before = sums[0], sums[1]
             told = [int(n.sum()), int((n > 0).sum()), *(int((before == k).sum()) for k in (1, 2, 3, 4)), int((before >= 3).sum())]
             line = ",".join(f"{k}:{m}" for k, m in types)
-            yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int64()), "types": [line], "told": pa.array([told], pa.list_(pa.int64()))})
+            yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int64()), "types": [line], "told": pa.array([told], pa.list_(pa.int64())), "name": ["words"]})
 
     word_shards = max(16, shards // 2)
     told_schema = "types string, told array<bigint>"
     pieces = bodies.mapInArrow(count, "shard bigint, before binary, run binary, token binary, n binary")
     sorted_ = pieces.repartition("shard").sortWithinPartitions("shard")
     fields = ", ".join(f"{f} binary" for f in ["word", *_WORD_FIELDS])
-    done = stored(sorted_.mapInArrow(add_pairs, f"shard bigint, {fields}, {told_schema}"))
-    pairs, told = _files(done.where("types is not null"), "pairs", shards, 1, folder)
+    parts = sorted_.mapInArrow(add_pairs, f"shard bigint, {fields}, {told_schema}")
+    parts = parts.repartition("shard").sortWithinPartitions("shard")
+    # One small row per file: all that the driver needs to know.
+    rows = parts.mapInArrow(add_words, f"shard bigint, {told_schema}, name string").collect()
+    pairs, told = _files(rows, "pairs", shards, 1, folder)
     n_pairs, *pair_counts = told or [0] * 5
-    words = done.where("types is null").drop("types", "told").repartition("shard").sortWithinPartitions("shard")
-    made = stored(words.mapInArrow(add_words, f"shard bigint, {told_schema}"))
-    words_, told = _files(made, "words", word_shards, len(_WORD_FIELDS), folder)
+    words, told = _files(rows, "words", word_shards, len(_WORD_FIELDS), folder)
     n_tokens, n_distinct, m1, m2, m3, m4, m_more = told or [0] * 7
     d = discounts([m1, m2, m3, m4])
     rest = (d[0] * m1 + d[1] * m2 + d[2] * m_more) / n_pairs if n_pairs else 1.0
-    return Model(pairs, words_, n_tokens, n_distinct, n_pairs, discounts(pair_counts), d, rest)
+    return Model(pairs, words, n_tokens, n_distinct, n_pairs, discounts(pair_counts), d, rest)
 
 
-def scored(documents: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", slice_bytes: int = SLICE_BYTES) -> DataFrame:
+def scored(documents: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", slice_bytes: int = SCORE_BYTES) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score, score of each row, null texts as empty ones; no shuffle."""
     kind = documents.schema[doc_id].dataType.simpleString()
     held = documents.sparkSession.sparkContext.broadcast(model)
