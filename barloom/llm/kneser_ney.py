@@ -42,8 +42,9 @@ from .common import read_table
 
 FOLDS = 10  # one of these is held out
 SLICE_BYTES = 16_000_000  # text that a task counts at once
-SCORE_BYTES = 8_000_000  # text that a task scores at once
+SCORE_BYTES = 4_000_000  # text that a task scores at once
 SHARD_BYTES = 8_000_000  # training text for each shard of pairs
+BATCH_BYTES = "16m"  # of packed rows, which may be large, on their way to a worker
 END, BEGIN = np.uint64(1), np.uint64(2)
 _ODD = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)]
 _WORD_FIELDS = ["count", "before", "total", "ones", "twos", "more"]
@@ -271,6 +272,17 @@ def _files(rows: list, name: str, shards: int, width: int, folder: str) -> tuple
     return Sorted(folder, name, shards, types, width), told
 
 
+def _collected(rows: DataFrame) -> list:
+    """The rows, with small batches on the way; the session's own setting is put back."""
+    conf, name = rows.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = conf.get(name, None)
+    conf.set(name, BATCH_BYTES)
+    try:
+        return rows.collect()
+    finally:
+        conf.unset(name) if before is None else conf.set(name, before)
+
+
 def train(texts: DataFrame, text: str = "text", slice_bytes: int = SLICE_BYTES, shard_bytes: int = SHARD_BYTES) -> Model:
     """The model of all texts of a column; a null text is empty, repeated rows count each.
 
@@ -300,7 +312,9 @@ def train(texts: DataFrame, text: str = "text", slice_bytes: int = SLICE_BYTES,
                 length = np.diff(np.append(run, len(before))).astype(np.uint32)
                 contexts = _packed_rows(shard[run], {"before": before[run], "run": length})
                 found = _packed_rows(shard, {"token": token, "n": n})
+                del hashes, codes, shard, before, token, n, order
                 yield pa.RecordBatch.from_arrays([*contexts.columns, *found.columns[1:]], ["shard", "before", "run", "token", "n"])
+                pa.default_memory_pool().release_unused()
 
     def add_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, rows in _by_shard(batches):
@@ -338,6 +352,8 @@ def train(texts: DataFrame, text: str = "text", slice_bytes: int = SLICE_BYTES,
             pairs = rows.filter(pc.is_valid(rows["types"])).select(["shard", "types", "told"])
             names = pa.array(["pairs"] * len(pairs), pa.string())
             yield from pairs.append_column("name", names).combine_chunks().to_batches()
+            if len(pairs) == len(rows):
+                continue
             keys = _word_key(_unpacked(rows["word"].combine_chunks(), "<u8"))
             keys, sums = _sums(keys, [_unpacked(rows[f].combine_chunks(), "<u8") for f in _WORD_FIELDS])
             types = _write(folder, f"words-{shard}", [keys, *map(_narrow, sums)])
@@ -354,7 +370,7 @@ def train(texts: DataFrame, text: str = "text", slice_bytes: int = SLICE_BYTES,
     parts = sorted_.mapInArrow(add_pairs, f"shard bigint, {fields}, {told_schema}")
     parts = parts.repartition("shard").sortWithinPartitions("shard")
     # One small row per file: all that the driver needs to know.
-    rows = parts.mapInArrow(add_words, f"shard bigint, {told_schema}, name string").collect()
+    rows = _collected(parts.mapInArrow(add_words, f"shard bigint, {told_schema}, name string"))
     pairs, told = _files(rows, "pairs", shards, 1, folder)
     n_pairs, *pair_counts = told or [0] * 5
     words, told = _files(rows, "words", word_shards, len(_WORD_FIELDS), folder)
@@ -374,6 +390,7 @@ def scored(documents: DataFrame, model: Model, doc_id: str = "doc_id", text: str
             for rows in slices(batch, "_text", slice_bytes):
                 found = held.value.score(rows.column("_text"))
                 yield pa.RecordBatch.from_pydict({"doc_id": rows.column("_id")} | {k: pa.array(v) for k, v in found.items()})
+                pa.default_memory_pool().release_unused()
 
     rows = documents.select(F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{text}`").alias("_text"))
     return rows.mapInArrow(run, f"doc_id {kind}, n_tokens bigint, n_known bigint, base_score double, score double")
