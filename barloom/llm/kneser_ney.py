@@ -365,10 +365,10 @@ def train(texts: DataFrame, text: str = "text", slice_bytes: int = SLICE_BYTES,
     word_shards = max(16, shards // 2)
     told_schema = "types string, told array<bigint>"
     pieces = bodies.mapInArrow(count, "shard bigint, before binary, run binary, token binary, n binary")
-    sorted_ = pieces.repartition("shard").sortWithinPartitions("shard")
+    sorted_ = pieces.repartition(shards, "shard").sortWithinPartitions("shard")
     fields = ", ".join(f"{f} binary" for f in ["word", *_WORD_FIELDS])
     parts = sorted_.mapInArrow(add_pairs, f"shard bigint, {fields}, {told_schema}")
-    parts = parts.repartition("shard").sortWithinPartitions("shard")
+    parts = parts.repartition(word_shards, "shard").sortWithinPartitions("shard")
     # One small row per file: all that the driver needs to know.
     rows = _collected(parts.mapInArrow(add_words, f"shard bigint, {told_schema}, name string"))
     pairs, told = _files(rows, "pairs", shards, 1, folder)
