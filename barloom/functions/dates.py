@@ -18,10 +18,11 @@ def trade_date(col: Column | str) -> Column:
 
 
 def legacy_date(col: Column | str) -> Column:
-    """As :func:`trade_date`, then with a two-digit year, then as an ISO date."""
+    """As :func:`trade_date`, then with a two-digit year (69 to 99 are 1969 to 1999), then as an ISO date."""
     text = strip(col)
+    short = F.try_to_date(text, DAY_MONTH_SHORT_YEAR)
     return F.coalesce(
         F.try_to_date(text, DAY_MONTH_YEAR),
-        F.try_to_date(text, DAY_MONTH_SHORT_YEAR),
+        F.when(F.year(short) >= 2069, F.add_months(short, -1200)).otherwise(short),
         text.try_cast("date"),
     )

@@ -15,8 +15,11 @@ def to_double(col: Column | str) -> Column:
     digits (``12d``), which is no number here.
     """
     text = _col(col)
-    suffixed = text.cast("string").rlike(r"[0-9.][dDfF]\s*$")
-    return F.when(~suffixed, F.nanvl(text.try_cast("double"), F.lit(None).cast("double")))
+    plain = text.cast("string")
+    value = F.nanvl(text.try_cast("double"), F.lit(None).cast("double"))
+    # The pattern only looks at the few texts that end with such a letter.
+    lettered = F.right(F.rtrim(plain), F.lit(1)).isin("d", "D", "f", "F")
+    return F.when(~(lettered & plain.rlike(r"[0-9.][dDfF]\s*$")), value)
 
 
 def to_long(col: Column | str) -> Column:

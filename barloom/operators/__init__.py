@@ -26,9 +26,11 @@ from barloom.operators.consolidate import (
 )
 from barloom.operators.dedupe import keep_first, new_keys
 from barloom.operators.history import (
+    check_history_files,
     clean_history,
     completeness_check,
     extract_actions,
+    failed_report,
     history_counts,
     history_summary,
     missing_histories,
@@ -58,8 +60,12 @@ from barloom.operators.quality import (
     duplicate_sources,
     high_water_mark,
     ingest_audit,
+    merge_summaries,
     rejects,
+    summary_counts,
+    yearly_summary,
 )
+from barloom.operators.positions import numbered, running
 from barloom.operators.wide import wide_to_long
 
 __all__ = [name for name in dir() if not name.startswith("_")]

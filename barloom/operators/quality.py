@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom import schemas as S
 from barloom.functions import strip, to_double, trade_date
 
+SKETCH = 14  # logarithm of the registers of a sketch
+
 
 def dataset_summary(prices: DataFrame) -> DataFrame:
     """Rows, date range, distinct symbols and series.
@@ -90,6 +94,38 @@ def ingest_audit(raw: DataFrame) -> DataFrame:
     )
 
 
+def yearly_summary(prices: DataFrame, year: str = "YEAR") -> DataFrame:
+    """Per year: rows, first and last day, and sketches of the distinct symbols and days.
+
+    Rows of a batch make rows of the same kind, and ``merge_summaries`` adds them to what is
+    stored, so a summary is kept up without reading old price rows. A sketch has a fixed size.
+    """
+    return prices.groupBy(F.year("DATE1").alias(year)).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.min("DATE1").alias("first_day"),
+        F.max("DATE1").alias("last_day"),
+        F.hll_sketch_agg("SYMBOL", SKETCH).alias("symbols"),
+        F.hll_sketch_agg(F.unix_date("DATE1"), SKETCH).alias("days"),
+    )
+
+
+def merge_summaries(*summaries: DataFrame, by: tuple[str, ...] = ("YEAR",)) -> DataFrame:
+    """Yearly summaries of disjoint rows as one; with ``by=()`` one row over all years."""
+    parts = reduce(DataFrame.unionByName, summaries)
+    return parts.groupBy(*by).agg(
+        F.sum("rows").alias("rows"),
+        F.min("first_day").alias("first_day"),
+        F.max("last_day").alias("last_day"),
+        F.hll_union_agg("symbols").alias("symbols"),
+        F.hll_union_agg("days").alias("days"),
+    )
+
+
+def summary_counts(summary: DataFrame) -> DataFrame:
+    """The summary with numbers in place of sketches, off by some per cent (``SKETCH`` = 14: 0.8 % is one deviation)."""
+    return summary.withColumns({name: F.hll_sketch_estimate(name) for name in ("symbols", "days")})
+
+
 def coverage_report(prices: DataFrame, actions: DataFrame, deals: DataFrame) -> DataFrame:
     """One row over three tables: price rows, dates and symbols, actions, deals."""
 

@@ -1,26 +1,5 @@
-"""Exact size checks made before anything is broadcast."""
-
-from __future__ import annotations
-
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+"""Bounds of what is broadcast."""
 
 # Largest side that is broadcast, and what a row takes besides its columns.
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD = 64
-
-
-def fits_broadcast(
-    df: DataFrame,
-    limit_bytes: int = BROADCAST_BYTES,
-) -> bool:
-    """Measure ``df`` in one aggregation and tell whether it may be broadcast.
-
-    Counts every row, so the answer is a bound and not an estimate. Fixed-width
-    columns are covered by a flat allowance per row; text columns by their length.
-    """
-    width = F.lit(ROW_OVERHEAD + 8 * len(df.columns)).cast("bigint")
-    for field in df.schema.fields:
-        if field.dataType.typeName() == "string":
-            width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
-    return (df.agg(F.sum(width).alias("bytes")).first()["bytes"] or 0) <= limit_bytes

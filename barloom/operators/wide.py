@@ -15,7 +15,7 @@ def wide_to_long(
 
     ``tickers`` maps symbol to ticker; of several symbols with one ticker the
     first is used. Tickers without columns are left out, as are rows without a
-    close. A date that does not parse is NULL. Each input row is exploded where it is, so nothing is exchanged.
+    close. A date or a value that does not parse is NULL. Each input row is exploded where it is, so nothing is exchanged.
     """
     fields = list(
         dict.fromkeys(c.split(separator, 1)[1] for c in wide.columns if separator in c)
@@ -27,7 +27,7 @@ def wide_to_long(
     def quotes(ticker: str, symbol: str):
         values = [
             (F.col(f"`{ticker}{separator}{f}`") if f"{ticker}{separator}{f}" in wide.columns else F.lit(None))
-            .cast("double")
+            .try_cast("double")
             .alias(f)
             for f in fields
         ]

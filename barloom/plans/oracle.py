@@ -436,4 +436,54 @@ ORACLE: dict[str, str] = {
     "store_actions_by_key": f"""with {with_clause('ca_raw')}, {_parsed('ca_raw')}, {_UNIQUE}
     select * from unique_actions where action_type in ('dividend', 'split', 'bonus')""",
     "stream_full_prices_loaded": f"with {_RAW}, {_FULL} " + _first_per_key("select * from full_rows", _ORDER),
+    "stream_reject_report": f"""
+    with {with_clause('full_raw')}
+    select case when coalesce(trim(SYMBOL), '') = '' or coalesce(trim(SERIES), '') = '' then 'blank key'
+                else 'unreadable date' end as reason, cast(count(*) as bigint) as rows
+    from full_raw
+    where coalesce(trim(SYMBOL), '') = '' or coalesce(trim(SERIES), '') = '' or {_date('DATE1')} is null group by 1""",
+    "files_histories_check": f"""{_HISTORY},
+    counted as (
+      select exchange, symbol, cast(substr(symbol, 2) as bigint) % 5 as k, count(*) as n, min(cast(date as date)) as first_date
+      from history group by exchange, symbol),
+    listed as (select case when c_custkey % 2 = 0 then 'NSE' else 'BSE' end as exchange,
+      concat('S', c_custkey) as symbol from customer)
+    select l.exchange, l.symbol, case when k = 2 then 0 else n end as rows,
+      case when k not in (2, 3) then first_date end as first_date,
+      case when k is null then 'delisted_or_no_data' when k = 1 then 'invalid_columns'
+           when k = 2 or n < 27 then 'insufficient_data' when k = 3 then 'file_read_error' end as reason
+    from listed l left join counted c using (exchange, symbol)""",
+    "files_histories_roundtrip": f"""{_HISTORY}
+    select exchange, symbol, 'ohlcv' as kind, date, open, high, low, close, adj_close, cast(volume as double) as volume,
+      cast(null as double) as dividends, cast(null as double) as stock_splits from history
+    union all
+    select exchange, symbol, 'div_stock_split', date, null, null, null, null, null, null, dividends, stock_splits
+    from history where dividends <> 0 or stock_splits <> 0""",
+    "store_skip_log": f"""{_HISTORY},
+    counted as (select exchange, symbol, count(*) as n from history group by exchange, symbol),
+    runs as (select 'first' as run_id, 27 as least union all select 'second/again', 30)
+    select symbol, exchange, 'insufficient_data' as reason, concat('Only ', n, ' rows') as details, run_id
+    from counted, runs where n < least""",
+    "table_prices_bucketed": f"""with {with_clause('market')}
+    select SYMBOL, SERIES, DATE1, CLOSE_PRICE from (
+      select *, row_number() over (partition by SYMBOL order by DATE1 desc, SERIES) as rn from market) r where rn = 1""",
+    "table_deals_replaced": f"with {with_clause('bulk_raw')}, {_DEALS} select * from deals",
+    "summary_by_sketch": f"""with {with_clause('market')}
+    select cast(year(DATE1) as int) as "YEAR", count(*) as rows, min(DATE1) as first_day, max(DATE1) as last_day,
+      count(distinct SYMBOL) as exact_symbols, count(distinct DATE1) as exact_days, true as symbols_close, true as days_close
+    from market group by 1""",
+    "files_prices_in_order": f"""with {with_clause('market')}
+    select row_number() over (order by DATE1, SYMBOL, SERIES) as position, DATE1, SYMBOL, SERIES, CLOSE_PRICE from market""",
+    "files_bulk_in_order": f"""with {with_clause('bulk_raw')}, {_DEALS}
+    select row_number() over (order by Date nulls first, Symbol nulls first, Quantity_Traded nulls first,
+      Trade_Price__Wght_Avg_Price nulls first) as position, Date, Symbol, Quantity_Traded, Trade_Price__Wght_Avg_Price from deals""",
+    "files_security_lists": f"{_MASTER} select * from master",
+    "files_bse_prices": f"""
+    with {with_clause('bse_raw')}
+    select trim(SC_CODE) as SC_CODE, trim(SC_NAME) as SC_NAME, {_double('OPEN')} as OPEN, {_double('HIGH')} as HIGH,
+      {_double('LOW')} as LOW, {_double('CLOSE')} as CLOSE, {_long('NO_OF_SHRS')} as NO_OF_SHRS,
+      {_long('NO_TRADES')} as NO_TRADES, cast(date_trunc('month', DATE1) as date) + 7305 as DATE1, trim(SC_CODE) as SYMBOL, trim(SC_NAME) as COMPANY_NAME
+    from bse_raw""",
+    "legacy_date_forms": """
+    select l_orderkey, l_linenumber, case when l_linenumber % 4 < 3 then cast(l_shipdate as date) end as day from lineitem""",
 }

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barloom import operators as ops
 from barloom import schemas as S
 from barloom import sinks, sources
-from barloom.functions import round_cents
+from barloom.functions import legacy_date, round_cents
 from barloom.plans.derived import load
 from barloom.session import scratch_dir
-from barloom.streaming import stream_full_prices
+from barloom.streaming import read_stream_rejects, stream_full_prices
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -580,3 +581,154 @@ def stream_full_prices_loaded(t: Tables) -> DataFrame:
     source, target = _csv(t, t.full_raw), scratch_dir(t.spark)
     stream_full_prices(t.spark, source, target, checkpoint=scratch_dir(t.spark)).awaitTermination()
     return sources.read_prices(t.spark, target)
+
+
+@query
+def stream_reject_report(t: Tables) -> DataFrame:
+    """What the streaming job left out, by reason; the second run finds no new file."""
+    source, target, progress = _csv(t, t.full_raw), scratch_dir(t.spark), scratch_dir(t.spark)
+    for _ in range(2):
+        stream_full_prices(t.spark, source, target, checkpoint=progress).awaitTermination()
+    return read_stream_rejects(t.spark, target).groupBy("reason").agg(F.sum("rows").alias("rows"))
+
+
+@query
+def files_histories_check(t: Tables) -> DataFrame:
+    """Listed symbols against their history files: without a column, with a header only, with an unreadable
+    first date, too short, absent, or complete."""
+    root = scratch_dir(t.spark)
+    kind = F.substring("symbol", 2, 20).cast("bigint") % 5
+    prices = t.history.select("exchange", "symbol", *S.OHLCV_COLUMNS)
+    first = F.min("date").over(Window.partitionBy("exchange", "symbol"))
+    undated = prices.where(kind == 3).withColumn("date", F.when(F.col("date") != first, F.col("date")))
+    headers = prices.where(kind == 2).select("exchange", "symbol", F.lit(",".join(S.OHLCV_COLUMNS)).alias("date")).distinct()
+    sinks.export_histories(prices.where(kind.isin(0, 4)), None, root)
+    sinks.export_histories(undated, None, root, mode="append")
+    sinks.export_histories(prices.where(kind == 1).drop("volume"), None, root, mode="append")
+    headers.write.mode("append").options(sep="|").partitionBy("exchange", "symbol").csv(f"{root}/ohlcv")
+    listed = t.customer.select(
+        F.when(F.col("c_custkey") % 2 == 0, "NSE").otherwise("BSE").alias("exchange"),
+        F.concat(F.lit("S"), F.col("c_custkey").cast("string")).alias("symbol"),
+    )
+    rows = [sources.read_histories(t.spark, root, e, exported=True) for e in ("NSE", "BSE")]
+    files = sources.history_files(t.spark, root, exported=True)
+    return ops.check_history_files(listed, files, rows[0].unionByName(rows[1]), min_rows=27).drop("length")
+
+
+@query
+def files_histories_roundtrip(t: Tables) -> DataFrame:
+    """Both kinds of histories written by symbol and read back from there."""
+    root = scratch_dir(t.spark)
+    sinks.export_histories(t.history.select("exchange", "symbol", *S.OHLCV_COLUMNS), ops.extract_actions(t.history), root)
+    parts = []
+    for kind in ("ohlcv", "div_stock_split"):
+        for exchange in ("NSE", "BSE"):
+            rows = sources.read_histories(t.spark, root, exchange, kind, exported=True).drop("columns_ok", "row_order")
+            parts.append(rows.withColumn("kind", F.lit(kind)))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    numbers = [c for c in out.columns if c not in ("exchange", "symbol", "kind", "date")]
+    return out.select("exchange", "symbol", "kind", "date", *[F.col(c).cast("double").alias(c) for c in numbers])
+
+
+@query
+def store_skip_log(t: Tables) -> DataFrame:
+    """Skipped histories of two runs in one log; the first of them is repeated."""
+    path = scratch_dir(t.spark)
+    for run, least in (("first", 27), ("first", 27), ("second/again", 30)):
+        report = ops.quality_report(ops.completeness_check(t.history, min_rows=least))
+        sinks.append_log(report, path, run)
+    return sinks.read_log(t.spark, path, S.SKIPPED).drop("timestamp")
+
+
+def _catalog_name(kind: str) -> str:
+    return f"{kind}_{uuid.uuid4().hex}"
+
+
+@query
+def table_prices_bucketed(t: Tables) -> DataFrame:
+    """The last row of each symbol, from a table in buckets by symbol: nothing is exchanged above the scan."""
+    name = _catalog_name("prices")
+    sinks.write_keyed_table(t.market, name, ["SYMBOL"], ["DATE1"], 8, scratch_dir(t.spark))
+    last = Window.partitionBy("SYMBOL").orderBy(F.desc("DATE1"), "SERIES")
+    ranked = t.spark.table(name).withColumn("rank", F.row_number().over(last))
+    return ranked.where("rank = 1").select("SYMBOL", "SERIES", "DATE1", "CLOSE_PRICE")
+
+
+@query
+def table_deals_replaced(t: Tables) -> DataFrame:
+    """Cleaned deals in a keyed table that is replaced twice."""
+    name, path = _catalog_name("deals"), scratch_dir(t.spark)
+    for deals in (t.deals.where(F.col("Trade_Price__Wght_Avg_Price") > 1000), t.deals, t.deals):
+        sinks.replace_keyed_table(deals, name, ["Symbol"], ["Date"], 8, path)
+    return t.spark.table(name)
+
+
+@query
+def summary_by_sketch(t: Tables) -> DataFrame:
+    """Yearly summaries of stored rows and of a batch, merged; distinct counts are within 5 % of the exact ones."""
+    new = F.col("DATE1") >= F.lit("1996-06-15").cast("date")
+    merged = ops.merge_summaries(*[ops.yearly_summary(t.market.where(part)) for part in (~new, new)])
+    exact = t.market.groupBy(F.year("DATE1").alias("YEAR")).agg(
+        F.countDistinct("SYMBOL").alias("exact_symbols"), F.countDistinct("DATE1").alias("exact_days")
+    )
+    joined = ops.summary_counts(merged).join(exact, "YEAR")
+
+    def close(name: str):
+        return (F.abs(F.col(name) - F.col(f"exact_{name}")) <= 0.05 * F.col(f"exact_{name}")).alias(f"{name}_close")
+
+    return joined.select("YEAR", "rows", "first_day", "last_day", "exact_symbols", "exact_days", close("symbols"), close("days"))
+
+
+def _in_order(t: Tables, df: DataFrame, order: list[str]) -> DataFrame:
+    path = scratch_dir(t.spark)
+    sinks.export_in_order(df, path, order)
+    kinds = dict(df.dtypes)
+    return t.spark.read.schema(", ".join(["position bigint", *[f"`{c}` {kinds[c]}" for c in df.columns]])).option("header", True).csv(path)
+
+
+@query
+def files_prices_in_order(t: Tables) -> DataFrame:
+    """All price rows exported by day and symbol, each with its place."""
+    return _in_order(t, t.market.select("DATE1", "SYMBOL", "SERIES", "CLOSE_PRICE"), ["DATE1", "SYMBOL", "SERIES"])
+
+
+@query
+def files_bulk_in_order(t: Tables) -> DataFrame:
+    deals = t.deals.select("Date", "Symbol", "Quantity_Traded", "Trade_Price__Wght_Avg_Price")
+    return _in_order(t, deals, deals.columns)
+
+
+@query
+def files_security_lists(t: Tables) -> DataFrame:
+    """Both security lists from files to the master; one folder holds two column orders, names hold line ends."""
+    nse = t.nse_list.withColumn("NAME_OF_COMPANY", F.translate("NAME_OF_COMPANY", " ", "\n"))
+    half = F.length("NAME_OF_COMPANY") % 2 == 0
+    path = _csv(t, nse.where(half))
+    sinks.export_csv(nse.where(~half).select(*reversed(nse.columns)), path, mode="append")
+    read = sources.read_security_list(t.spark, path).withColumn("NAME_OF_COMPANY", F.translate("NAME_OF_COMPANY", "\n", " "))
+    bse = sources.read_security_list(t.spark, "/nowhere/list.csv", fallback=_csv(t, t.bse_list))
+    return ops.security_master(
+        read, bse, ("SYMBOL", "NAME_OF_COMPANY", "ISIN_NUMBER"), ("Security_Id", "Security_Name", "ISIN_No")
+    )
+
+
+@query
+def files_bse_prices(t: Tables) -> DataFrame:
+    """Second-exchange rows as one file per month, the date in its name, 20 years on: two-digit years are this century's."""
+    path = scratch_dir(t.spark)
+    name = F.date_format(F.date_add(F.trunc("DATE1", "MM"), 7305), "'EQ_ISINCODE_'ddMMyy'_T0.CSV'").alias("FILE")
+    t.bse_raw.select(*[c for c in t.bse_raw.columns if c != "DATE1"], name).repartition("FILE").write.option("header", True).partitionBy("FILE").csv(path)
+    rows = ops.clean_exchange(sources.read_bse_prices(t.spark, path, glob="*.csv"), "bse_equity")
+    return rows.select("SC_CODE", "SC_NAME", "OPEN", "HIGH", "LOW", "CLOSE", "NO_OF_SHRS", "NO_TRADES", "DATE1", "SYMBOL", "COMPANY_NAME")
+
+
+@query
+def legacy_date_forms(t: Tables) -> DataFrame:
+    """Dates of the first format in all its forms, one of them unreadable."""
+    day = F.to_date("l_shipdate")
+    forms = F.lit(None).cast("string")
+    for n, form in enumerate(("dd-MMM-yyyy", "d-MMM-yy", "yyyy-MM-dd", "MM/dd/yyyy")):
+        forms = F.when(F.col("l_linenumber") % 4 == n, F.date_format(day, form)).otherwise(forms)
+    return t.lineitem.select("l_orderkey", "l_linenumber", legacy_date(forms).alias("day"))

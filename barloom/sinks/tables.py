@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from barloom import schemas as S
 from barloom.operators.dedupe import keep_first, new_keys
+from barloom.session import scratch_dir
 from barloom.sources.tables import YEAR, read_prices
 
 # Files of a year partition are cut by symbol and day, so both prune row groups.
@@ -46,16 +49,21 @@ def exists(spark: SparkSession, path: str) -> bool:
 def append_prices(spark: SparkSession, path: str, batch: DataFrame, keys: list[str] | None = None) -> None:
     """Append the rows of ``batch`` whose key the stored price table lacks.
 
-    Only the years and days of the batch are read from the table. Running it
-    again with the same batch adds nothing.
+    The batch's plan runs once: it is written below the checkpoint folder, and its span of days is
+    observed while that happens. Then the new keys are taken from those files. Only the
+    years and days of the batch are read from the table. Running it again with the same batch
+    adds nothing.
     """
     keys = keys or S.PRICE_KEY
+    seen, staged = Observation(), scratch_dir(spark)
+    batch = batch.dropna(subset=keys)
+    batch.observe(seen, F.min("DATE1").alias("lo"), F.max("DATE1").alias("hi")).write.parquet(staged)
+    span, batch = seen.get, spark.read.schema(batch.schema).parquet(staged)
+    if span["lo"] is None:
+        return
     if not exists(spark, path):
         # Appending also makes the table, and spares rows of a writer that came in between.
-        write_prices(keep_first(batch.dropna(subset=keys), keys), path, mode="append")
-        return
-    span = batch.agg(F.min("DATE1").alias("lo"), F.max("DATE1").alias("hi")).first()
-    if span["lo"] is None:
+        write_prices(keep_first(batch, keys), path, mode="append")
         return
     target = read_prices(spark, path, start=str(span["lo"]), end=str(span["hi"]))
     write_prices(new_keys(target, batch, keys), path, mode="append")
@@ -79,3 +87,35 @@ def create_if_absent(spark: SparkSession, path: str, schema) -> None:
 def replace_table(df: DataFrame, name: str) -> None:
     """Create or replace a catalog table, such as the cleaned bulk deals."""
     df.write.mode("overwrite").saveAsTable(name)
+
+
+def write_keyed_table(df: DataFrame, name: str, keys: list[str], order: list[str], buckets: int, path: str | None = None) -> None:
+    """A new catalog table in buckets of ``keys``, each sorted by the keys and ``order``.
+
+    Windows, groups and joins by these keys, also of two such tables with as many buckets, then
+    need no exchange. Rows are brought together by key first, so a bucket is one file. It holds what
+    its keys have: choose ``buckets`` so that one fits a task.
+    """
+    together = df.repartition(buckets, *keys)
+    writer = together.write.bucketBy(buckets, *keys).sortBy(*keys, *order).format("parquet").mode("errorifexists")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+
+
+def replace_keyed_table(
+    df: DataFrame, name: str, keys: list[str], order: list[str], buckets: int, path: str | None = None
+) -> None:
+    """Make ``name`` show these rows, in buckets, without a moment in which it shows half of them.
+
+    Each version is a table of its own, and ``name`` is a view that is moved when the new one is whole.
+    Jobs that have begun go on with the version they know; the one before the current stays for
+    them, older ones are dropped.
+    """
+    spark = df.sparkSession
+    version = f"{name}__{uuid.uuid4().hex}"
+    write_keyed_table(df, version, keys, order, buckets, f"{path.rstrip('/')}/{version}" if path else None)
+    before = spark.sql(f"describe extended {name}").where("col_name = 'View Text'").first() if spark.catalog.tableExists(name) else None
+    spark.sql(f"create or replace view {name} as select * from {version}")
+    shown = {version, before["data_type"].split()[-1].strip("`").split(".")[-1] if before else version}
+    for table in spark.catalog.listTables(pattern=f"{name}__*"):
+        if table.name not in {s.lower() for s in shown} | shown:
+            spark.sql(f"drop table {table.name}")

@@ -1,7 +1,7 @@
 """Readers of raw files, lists and stored tables."""
 
 from barloom.sources.files import layouts, read_csv_by_name, skipped_files
-from barloom.sources.history import read_histories
+from barloom.sources.history import history_files, read_histories
 from barloom.sources.lists import (
     read_actions,
     read_bulk_deals,

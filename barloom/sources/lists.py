@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.utils import AnalysisException
 
-from barloom.sources.files import read_csv_by_name
+from barloom.sources.files import SOURCE_FILE, read_csv_by_name
 
 
 def _read_list(spark: SparkSession, path: str) -> DataFrame:
-    """All-text columns under their stripped header names."""
-    df = spark.read.options(header=True, multiLine=True, escape='"').csv(path)
-    return df.toDF(*[c.strip().lstrip("\ufeff") for c in df.columns])
+    """All-text columns under their stripped header names, of one file, a folder or a pattern.
+
+    Files may have their columns in any order; a column that a file lacks is NULL in its rows. A record
+    may hold line ends within quotes.
+    """
+    rows = read_csv_by_name(spark, path, (), first_line=True, others=True, multiLine="true", escape='"')
+    return rows.drop(SOURCE_FILE)
 
 
 def read_actions(spark: SparkSession, path: str) -> DataFrame:
@@ -30,8 +34,8 @@ def read_security_list(spark: SparkSession, path: str, fallback: str | None = No
     """Security list of an exchange, from ``fallback`` when ``path`` is not there."""
     try:
         return _read_list(spark, path)
-    except AnalysisException:
-        if fallback is None:
+    except AnalysisException as error:
+        if fallback is None or error.getCondition() != "PATH_NOT_FOUND":
             raise
         return _read_list(spark, fallback)
 

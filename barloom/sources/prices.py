@@ -84,10 +84,12 @@ def delivery_rejects(spark: SparkSession, paths: Paths, glob: str = DELIVERY_GLO
     )
 
 
-def read_bse_prices(spark: SparkSession, paths: Paths, header: Sequence[str] | None = None) -> DataFrame:
-    """Price files of the second exchange as text, all their columns, with the date of their name.
+def read_bse_prices(
+    spark: SparkSession, paths: Paths, header: Sequence[str] | None = None, glob: str = BSE_GLOB
+) -> DataFrame:
+    """Price files of the second exchange as text, all their columns, with the date in the name of the file or of its folder.
 
-    Other file names leave the date NULL.
+    Other names leave the date NULL.
     """
     rows = read_csv_by_name(
         spark,
@@ -96,7 +98,8 @@ def read_bse_prices(spark: SparkSession, paths: Paths, header: Sequence[str] | N
         required=S.BSE_COLUMNS[:1],
         header=header,
         others=True,
-        pathGlobFilter=BSE_GLOB,
+        extra={"file_path": F.col("_metadata.file_path")},
+        pathGlobFilter=glob,
     )
-    day = F.regexp_extract(SOURCE_FILE, BSE_NAME, 1)
-    return rows.withColumn("DATE1", F.try_to_date(day, BSE_FILE_DATE))
+    day = F.regexp_extract("file_path", BSE_NAME, 1)
+    return rows.withColumn("DATE1", F.try_to_date(day, BSE_FILE_DATE)).drop("file_path")

@@ -1,5 +1,5 @@
 """Structured Streaming form of the daily load."""
 
-from barloom.streaming.incremental import stream_full_prices
+from barloom.streaming.incremental import read_stream_rejects, stream_full_prices
 
-__all__ = ["stream_full_prices"]
+__all__ = ["read_stream_rejects", "stream_full_prices"]
