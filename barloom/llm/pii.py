@@ -25,11 +25,12 @@ _TITLES = (
     r"|Señorita|Señora|Señor|Srta|Sra|Sr|г-н|г-жа"
 )
 # A capitalised word (McDonald, O'Brien, SMITH) or an initial, but no title.
-_PART = rf"(?!(?:{_TITLES})\.? )\p{{Lu}}(?:\.(?= \p{{Lu}})|[\p{{L}}\p{{M}}]*(?:['’]\p{{Lu}}[\p{{L}}\p{{M}}]*)*)"
+_PART = rf"(?!(?:{_TITLES})\.? )\p{{Lu}}(?:\.(?= \p{{Lu}})|[\p{{L}}\p{{M}}]*+(?:['’]\p{{Lu}}[\p{{L}}\p{{M}}]*+)*+)"
 _PARTICLE = r"(?:(?:von|van|der|den|zu|de|del|della|di|da|du|dos|la|le|y) )"
-# Kind and pattern, in the order in which they are tried at a place. No capturing groups.
+# Kind and pattern, in the order in which they are tried at a place. No capturing groups. What may
+# repeat without bound is possessive: other groups cost the JVM a stack frame for each repetition.
 PATTERNS = {
-    "email": rf"(?<![{_W}._%+-])[{_W}._%+-]+@[{_W}-]+(?:\.[{_W}-]+)*\.\p{{L}}{{2,}}",
+    "email": rf"(?<![{_W}._%+-])[{_W}._%+-]+@[{_W}-]++(?:\.[{_W}-]++(?=\.[{_W}-]*+\.|\.\p{{L}}{{2}}))*+\.\p{{L}}{{2,}}",
     "ip": r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": (
@@ -38,7 +39,7 @@ PATTERNS = {
     ),
     "card": r"(?<!\d)(?:\d{13,19}|(?:\d{4}[ -]){3}\d{4}|\d{4}[ -]\d{6}[ -]\d{5})(?!\d)",
     "name": (
-        rf"(?<![\p{{L}}\d])(?:{_TITLES})\.? {_PARTICLE}*{_PART}(?:[ -]{_PARTICLE}*{_PART}){{0,3}}"
+        rf"(?<![\p{{L}}\d])(?:{_TITLES})\.? {_PARTICLE}*+{_PART}(?:[ -]{_PARTICLE}*+{_PART}){{0,3}}"
     ),
 }
 KINDS = list(PATTERNS)
@@ -47,6 +48,9 @@ _TITLE = rf"^({_TITLES})\.? "
 _FEMALE = r"^(Mrs|Ms|Miss|Frau|Fräulein|Madame|Mademoiselle|Mme|Mlle|Señorita|Señora|Srta|Sra|г-жа)[. ]"
 _EITHER = r"^(Dr|Prof)[. ]"
 
+# Country calling codes of one and two digits; all others have three.
+_CODES = "1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()
+
 # Given names by gender and script, and syllables of surnames by script.
 _GIVEN = {
     ("m", "latin"): "Adam Bruno Carl David Emil Felix Georg Hugo Ivan Jonas Karl Leon Martin Niklas Oscar Paul".split(),
@@ -160,9 +164,18 @@ def _surrogates(distinct: DataFrame, key: str) -> DataFrame:
     email = F.concat(_alike(F.regexp_extract("form", "^(.*)@", 1), b), extra(latin), F.lit("@"), domain)
 
     plain = _digits(form)
-    kept = F.get(plain, F.lit(0)).cast("string")
+    # The country stays, or the first digit.
+    code = F.coalesce(
+        *[F.when(F.substring(form, 2, n).isin(*[c for c in _CODES if len(c) == n]), n) for n in (1, 2)],
+        F.when(form.startswith("+"), 3),
+        F.lit(1),
+    )
     drawn = F.transform(F.sequence(F.lit(1), F.size(plain)), lambda i: (F.get(b, i) % 10).cast("string"))
-    phone = F.concat(F.when(form.startswith("+"), "+").otherwise(""), kept, F.array_join(F.slice(drawn, 1, F.size(plain) - 1), ""))
+    phone = F.concat(
+        F.when(form.startswith("+"), "+").otherwise(""),
+        F.array_join(F.transform(F.slice(plain, 1, code), lambda d: d.cast("string")), ""),
+        F.array_join(F.slice(drawn, 1, F.size(plain) - code), ""),
+    )
     body = F.concat(F.array(F.get(plain, F.lit(0))), F.transform(F.slice(drawn, 1, F.size(plain) - 2), lambda d: d.cast("int")))
     check = (10 - _luhn(F.concat(body, F.array(F.lit(0)))) % 10) % 10
     card = F.concat(F.array_join(F.transform(body, lambda d: d.cast("string")), ""), check.cast("string"))
@@ -224,6 +237,12 @@ def _formatted(found: Column, kind: Column, surrogate: Column) -> Column:
             F.concat(acc["out"], F.when(digit, F.get(digits, acc["i"])).otherwise(c)).alias("out"),
         )
 
+    def cased(c: Column, i: Column) -> Column:
+        there = F.substring(found, i + 1, F.lit(1))
+        return F.when((there == F.upper(there)) & (there != F.lower(there)), F.upper(c)).otherwise(c)
+
+    before = F.array_join(F.transform(F.split(F.substring_index(surrogate, "@", 1), ""), cased), "")
+    email = F.concat(before, F.regexp_extract(surrogate, "@.*", 0))
     title = F.regexp_extract(found, _TITLE, 0)
     sign = F.when(F.regexp_replace(found, _TITLE, "").rlike(r"^\S+-\S+$"), "-").otherwise(" ")
     name = F.concat(title, F.replace(F.regexp_replace(surrogate, r"^.\|\w+\|", ""), F.lit(" "), sign))
@@ -231,6 +250,7 @@ def _formatted(found: Column, kind: Column, surrogate: Column) -> Column:
         F.when(kind.isin("phone", "card", "ssn"), F.aggregate(F.split(found, ""), start, put)["out"])
         .when(kind == "name", name)
         .when((kind == "email") & (found == F.upper(found)) & (found != F.lower(found)), F.upper(surrogate))
+        .when(kind == "email", email)
         .otherwise(surrogate)
     )
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from barloom.session import scratch_dir
 
-from .bpe import WORD_BPE, slices, vocabulary
+from .bpe import SLICE_BYTES, WORD_BPE, slices, vocabulary
 from .common import stored
 from .eliasfano import EliasFano, encode
 
@@ -64,7 +64,7 @@ def write(
         part, number, held = TaskContext.get().partitionId(), 0, 0
         keys, sizes, ids = [], [], []
         for batch in batches:
-            for rows in slices(batch, "_text"):
+            for rows in slices(batch, "_text", 2 * SLICE_BYTES):
                 found, offsets = words.encode(rows.column("_text"))
                 keys.append(rows.column("_id"))
                 sizes.append(np.diff(offsets) + 1)
