@@ -39,7 +39,7 @@ from tokenizers import Tokenizer
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 SLICE_BYTES = 4_000_000
-CACHE_ENTRIES = 100_000  # of each generation
+CACHE_ENTRIES = 150_000
 _END = "\ue000"  # stands for the word-end suffix, so that each symbol is one letter
 _NEVER = 1 << 60
 
@@ -144,26 +144,6 @@ class Backtracking:
                 token = self.shorter[token]
 
 
-class Recent:
-    """What was asked for of late: two generations of short keys; a full one takes the place of the older."""
-
-    def __init__(self):
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def get(self, key: str) -> bytes | None:
-        found = self.young.get(key)
-        if found is None and (found := self.old.get(key)) is not None:
-            self.put(key, found)
-        return found
-
-    def put(self, key: str, value: bytes) -> None:
-        if len(key) < 64:
-            if len(self.young) >= CACHE_ENTRIES:
-                self.young, self.old = {}, self.young
-            self.young[key] = value
-
-
 class Vocabulary:
     """Chunks of text without white space to ids, as the vocabulary file says."""
 
@@ -188,13 +168,15 @@ class Vocabulary:
         else:
             tokenize = self.tokenizer.model.tokenize
             self.encode_word = lambda word: [t.id for t in tokenize(word)]
-        self.words, self.chunks = Recent(), Recent()
+        self.words: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {}
 
     def _word(self, word: str) -> bytes:
         ids = self.words.get(word)
         if ids is None:
-            ids = np.asarray(self.encode_word(word), "<u4").tobytes()
-            self.words.put(word, ids)
+            if len(self.words) > CACHE_ENTRIES:
+                self.words.clear()
+            ids = self.words[word] = np.asarray(self.encode_word(word), "<u4").tobytes()
         return ids
 
     def _ordinary(self, text: str) -> bytes:
@@ -219,7 +201,10 @@ class Vocabulary:
                 ids += self._ordinary(text[at:])
             else:
                 ids = self._ordinary(text)
-            self.chunks.put(text, ids)
+            if len(self.chunks) > CACHE_ENTRIES:
+                self.chunks.clear()
+            if len(text) < 64:
+                self.chunks[text] = ids
         return ids
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
