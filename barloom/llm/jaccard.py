@@ -126,12 +126,16 @@ def _signatures(docs: DataFrame, words: int, bits: int) -> DataFrame:
     return docs.mapInArrow(run, f"{schema}, buckets array<bigint>, counts array<bigint>")
 
 
-def _candidates(docs: DataFrame, counts: np.ndarray, words: int, percent: int, bits: int, hot: np.ndarray, want_hot: bool) -> DataFrame:
-    """token, node, n: the rarest shingles of each class, so many that alike sets share one; of ``hot`` buckets or of the others."""
-    table = docs.sparkSession.sparkContext.broadcast((counts, hot))
+def _candidates(docs: DataFrame, counts: np.ndarray, words: int, percent: int, bits: int) -> DataFrame:
+    """token, node, n, salt: the rarest shingles of each class, so many that alike sets share one; salts from 1 on for hot buckets.
+
+    A bucket is hot from ``HOT_ROWS`` shingles and eight times the mean on: a token in it may be that of very many documents.
+    """
+    limit = max(HOT_ROWS, 8 * int(counts.mean()))
+    table = docs.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, hot = table.value
+        counts = table.value
         for batch in batches:
             for rows in slices(batch, "body"):
                 grams, bounds = shingle_sets(rows.column("body"), words)
@@ -142,31 +146,35 @@ def _candidates(docs: DataFrame, counts: np.ndarray, words: int, percent: int, b
                 rank = np.arange(len(grams)) - bounds[owner]
                 prefix = sizes - -(-sizes * percent // 100) + 1
                 chosen = order[rank < prefix[owner]]
-                chosen = chosen[hot[bucket[chosen]] == want_hot]
+                node = rows.column("node").to_numpy()[owner[chosen]]
+                often = counts[bucket[chosen]]
                 yield pa.RecordBatch.from_pydict({
                     "token": pa.array(grams[chosen].view(np.int64)),
-                    "node": pa.array(rows.column("node").to_numpy()[owner[chosen]]),
+                    "node": pa.array(node),
                     "n": pa.array(sizes[owner[chosen]]),
+                    "salt": pa.array(np.where(often > limit, 1 + node % (often // limit + 1), 0)),
                 })
 
-    return docs.mapInArrow(run, "token bigint, node bigint, n bigint")
+    return docs.mapInArrow(run, "token bigint, node bigint, n bigint, salt bigint")
 
 
-def _groups(cold: DataFrame, hot: DataFrame | None) -> DataFrame:
+def _groups(tokens: DataFrame) -> DataFrame:
     """gid, node, n, size: the classes that share a token, once for all tokens shared by the same ones.
 
     ``gid`` is made of the number, the least and the mixed hashes of the members. Should two sets of
     members ever get the same one, they are one larger group, which loses no pair.
     """
-    over = Window.partitionBy("token")
-    members = [F.count("*"), F.min("node"), F.bit_xor(F.xxhash64("node"))]
-    names = ["size", "least", "mix"]
-    rows = cold.select("*", *[m.over(over).alias(name) for m, name in zip(members, names)])
-    if hot is not None:
-        # Partial sums meet before the exchange, and the join back is one that Spark may split where it is skewed.
-        shared = hot.groupBy("token").agg(*[m.alias(name) for m, name in zip(members, names)]).where("size > 1")
-        rows = rows.union(hot.join(shared, "token").select(*rows.columns))
-    return rows.where("size > 1").select(F.xxhash64(*names).alias("gid"), "node", "n", "size").distinct()
+    over = Window.partitionBy("token", "salt")
+    members = {"size": F.count("*"), "least": F.min("node"), "mix": F.bit_xor(F.xxhash64("node"))}
+    gid = F.xxhash64(*members).alias("gid")
+    hot = F.col("salt") > 0
+    rows = tokens.select("*", *[m.over(over).alias(name) for name, m in members.items()]).where(hot | (F.col("size") > 1))
+    rows = stored(rows.select(F.when(hot, F.col("token")).alias("token"), F.when(~hot, gid).alias("gid"), "node", "n", F.when(~hot, F.col("size")).alias("size")).distinct())
+    # Tokens of hot buckets have been dealt over salts; here partial sums meet, and Spark may split the join back where it is skewed.
+    salted = rows.where("token is not null").select("token", "node", "n")
+    shared = salted.groupBy("token").agg(*[m.alias(name) for name, m in members.items()]).where("size > 1")
+    salted = salted.join(shared, "token").select(gid, "node", "n", "size")
+    return rows.where("token is null").select("gid", "node", "n", "size").union(salted).distinct()
 
 
 def _tiles(groups: DataFrame, percent: int, rows: int) -> DataFrame:
@@ -391,10 +399,8 @@ def near_duplicates(
     members = members.drop("map")
     n_classes = classes.count()
     chosen = docs.select(*KEY, "body").join(broadcast_if_small(classes.select(*KEY, "node"), n_classes), KEY).select("body", "node")
-    # Buckets far above the mean may hold a token of very many documents.
-    hot = table > max(HOT_ROWS, 8 * int(table.mean()))
-    tokens = [_candidates(chosen, table, words, percent, bucket_bits, hot, want) for want in ([False, True] if hot.any() else [False])]
-    tiles = stored(_tiles(stored(_groups(tokens[0], tokens[1] if len(tokens) > 1 else None)), percent, tile))
+    tokens = _candidates(chosen, table, words, percent, bucket_bits)
+    tiles = stored(_tiles(stored(_groups(tokens)), percent, tile))
 
     def decided(rows: DataFrame) -> DataFrame:
         """Links within tiles of sets: rows gid, low, high, part, node, root."""
