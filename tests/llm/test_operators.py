@@ -214,6 +214,19 @@ def test_jaccard_of_edited_copies(spark):
         assert rows_of(jaccard.near_duplicates(df, chunk=chunk), "doc_id", "n_shingles", "component_id") == expected
 
 
+def test_jaccard_of_bands_and_hot_shingles(spark, monkeypatch):
+    """A group of edited copies of many lengths, larger than a tile, whose shingles all lie in hot buckets."""
+    monkeypatch.setattr(jaccard, "HOT_ROWS", 3)
+    words, rng, rows = [f"x{i}" for i in range(90)], np.random.default_rng(6), []
+    for n in range(40):
+        copy = words[: int(rng.integers(30, 90))]
+        copy[int(rng.integers(len(copy)))] = f"new{n}"
+        rows.append((n, " ".join(copy)))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    found = jaccard.near_duplicates(df, tile=3, chunk=400)
+    assert rows_of(found, "doc_id", "n_shingles", "component_id") == Counter(brute_components(rows))
+
+
 def test_keep_one(documents, no_documents):
     left = jaccard.keep_one(documents)
     assert left.columns == documents.columns
