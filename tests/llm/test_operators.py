@@ -1,14 +1,17 @@
 """Each operator against a brute-force version, on edge cases and on empty tables."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from barloom.llm import bpe, decontaminate, jaccard, licenses, line_dedup, pii, quality, secret_scan, token_counts, token_files
+from barloom.llm.common import keyed
 from barloom.llm.graph import components
 from barloom.session import scratch_dir
 
@@ -531,3 +534,28 @@ def test_licenses_that_are_alike(spark):
     ]
     df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id bigint, text string")
     assert {r.doc_id: r.labels for r in licenses.label(df).collect()} == {i: e for i, (_, e) in enumerate(cases)}
+
+
+def test_simhash_takes_the_majority_of_each_bit(spark):
+    """Lines of one word to some thousands of words, against the bits of the hashes counted one by one."""
+    rng = random.Random(7)
+    sizes = [1, 2, 3, 9, 60, 510, 511, 512, 513, 3000]  # ascending
+    rows = [(i, [rng.getrandbits(64) - (1 << 63) for _ in range(n)]) for i, n in enumerate(sizes)]
+    df = spark.createDataFrame(rows, "id bigint, hashes array<bigint>")
+    for places in (9, 21):
+        fits = df.where(F.size("hashes") < 1 << places)
+        got = {r.id: r.sim for r in fits.select("id", line_dedup._sim(F.col("hashes"), places).alias("sim")).collect()}
+        for i, hashes in rows[: len(got)]:
+            want = sum(1 << b for b in range(line_dedup.BITS) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+            assert got[i] == want, (places, len(hashes))
+        assert len(got) == sum(n < 1 << places for n in sizes)
+
+
+def test_equal_lines_of_any_length_share_simhash_and_pieces(spark):
+    words = [f"word{n}" for n in range(700)]
+    text = "\n".join([" ".join(words[:30]), "short", " ".join(words), " ".join(words[:30]).upper()])
+    rows = line_dedup.described(keyed(spark.createDataFrame([(1, text)], "doc_id bigint, text string"), "doc_id", "text"), 48)
+    rows = {r.line: r for r in rows.collect()}
+    assert rows[0].sim == rows[3].sim and rows[0].pieces == rows[3].pieces and rows[0].h1 == rows[3].h1
+    assert rows[1].sim is None and rows[1].pieces is None
+    assert rows[2].sim is not None and rows[2].sim != rows[0].sim
