@@ -7,6 +7,7 @@ import pytest
 
 from barloom import operators as ops
 from barloom import schemas as S
+from barloom.plans.derived import _spread
 from barloom.plans.registry import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -90,3 +91,19 @@ def test_summary_counts_distinct_on_a_small_table(stored):
 
 def test_calendar_queries_read_days_only(stored):
     assert "ReadSchema: struct<DATE1:date>" in plan_of(ops.missing_dates(stored))
+
+
+def test_tasks_of_a_parsed_view_grow_with_its_rows(spark, tmp_path, monkeypatch):
+    """One file of many rows is no longer cut into as many tasks as there are cores only."""
+    monkeypatch.setattr("barloom.plans.derived._TASK_ROWS", 10)
+    spark.range(1000).coalesce(1).write.parquet(str(tmp_path / "one"))
+    assert _spread(spark.read.parquet(str(tmp_path / "one"))).rdd.getNumPartitions() == 100
+    monkeypatch.setattr("barloom.plans.derived._TASK_ROWS", 10_000)
+    assert _spread(spark.read.parquet(str(tmp_path / "one"))).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_queries_limit_generated_methods_on_any_session(spark):
+    other = spark.newSession()
+    other.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    QUERIES["normalize_full"](other, SF_DIR)
+    assert other.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
