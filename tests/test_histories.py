@@ -198,3 +198,13 @@ def test_two_digit_years(spark):
     texts = {"01-Apr-98": dt.date(1998, 4, 1), "29-FEB-00": dt.date(2000, 2, 29), "31-dec-68": dt.date(2068, 12, 31), "01-Jan-69": dt.date(1969, 1, 1), "1999-12-31": dt.date(1999, 12, 31), "04/01/1998": None}
     found = spark.createDataFrame([(t,) for t in texts], "t string").select("t", legacy_date("t").alias("d")).collect()
     assert {r.t: r.d for r in found} == texts
+
+
+def test_histories_are_not_all_written_by_one_task(spark, tmp_path):
+    """Few bytes, many files; the number of a part file is that of its task."""
+    prices = spark.range(400).select(
+        F.lit("NSE").alias("exchange"), F.concat(F.lit("S"), "id").alias("symbol"), F.lit("2024-01-01").alias("date"), F.lit(1.0).alias("open")
+    )
+    sinks.export_histories(prices, None, str(tmp_path / "h"))
+    files = list((tmp_path / "h" / "ohlcv").rglob("part-*.csv"))
+    assert len(files) == 400 and len({f.name.split("-")[1] for f in files}) > 8
