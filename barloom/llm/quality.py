@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 
 from .bpe import slices
 
+# Text worked on at once; its words take some thirty times as much in arrays.
+QUALITY_BYTES = 1_000_000
 WINDOW = 8
 _SYMBOLS = r"[#*$%&|<>]"
 _MARKS = r"[!?#*$%&<>~=^]{2,}"
@@ -172,7 +174,7 @@ def assess(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", rul
 def _assessed(rows: DataFrame, doc_id: str, text: str, rules: Rules, with_text: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, QUALITY_BYTES):
                 yield pa.RecordBatch.from_pydict({"doc_id": part.column(doc_id), **_per_text(part.column(text), rules, with_text)})
 
     kind = rows.schema[doc_id].dataType.simpleString()
@@ -188,7 +190,7 @@ def clean(documents: DataFrame, text: str = "text", n_chars: str | None = "n_cha
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in slices(batch, text):
+            for rows in slices(batch, text, QUALITY_BYTES):
                 found = _per_text(rows.column(text), rules, True)
                 changed = pc.greater(found["n_failed_lines"], 0)
                 columns = dict(zip(schema.names, rows.columns))
