@@ -161,3 +161,13 @@ def test_histories(spark, tmp_path, rows):
         ("NODATE", ""),
         ("SHORT", "Only 1 rows"),
     ]
+
+
+def test_headers_are_found_without_sorting_the_lines(spark, tmp_path):
+    from barloom.sources.files import layouts
+
+    (tmp_path / "a.csv").write_text("A,B\n1,2\n")
+    (tmp_path / "b.csv").write_text("x,y\n1,2\n")
+    found = layouts(spark, str(tmp_path), ["A", "B"])
+    assert sorted((r.file_path[-5:], r.header) for r in found.collect()) == [("a.csv", "A,B"), ("b.csv", None)]
+    assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
