@@ -559,3 +559,11 @@ def test_equal_lines_of_any_length_share_simhash_and_pieces(spark):
     assert rows[0].sim == rows[3].sim and rows[0].pieces == rows[3].pieces and rows[0].h1 == rows[3].h1
     assert rows[1].sim is None and rows[1].pieces is None
     assert rows[2].sim is not None and rows[2].sim != rows[0].sim
+
+
+def test_pieces_of_long_lines_carry_the_simhash(spark):
+    line = "the committee of the northern district considered a proposal to rebuild the old harbour wall in autumn"
+    docs = spark.createDataFrame([(1, line), (2, line + " again")], "doc_id long, text string")
+    nodes = line_dedup.described(keyed(docs, "doc_id", "text"), line_dedup.SHORT).withColumn("node", F.col("h1"))
+    keys = line_dedup._block_keys(nodes, line_dedup.SHORT)
+    assert keys.count() > 2 * line_dedup.BLOCKS and keys.where("sim is null").count() == 0
