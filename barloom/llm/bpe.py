@@ -10,8 +10,9 @@ work is linear. The tokenisation whose borders all hold is the one the merges gi
 Decoding: an Arrow string array of the vocabulary is the offset table; ids are
 gathered from it and joined.
 
-Per task a text is split at white space into chunks, equal chunks of a slice of
-documents are encoded once, and the ids are laid out with numpy. Memory is bounded by
+Per task a text is split at white space into chunks, the different chunks of a slice of
+documents into words by Arrow, where their letters are plain; equal words are encoded
+once, and the ids are laid out with numpy. Memory is bounded by
 ``SLICE_BYTES`` (or the longest single text) and the size of the caches.
 
 The vocabulary file is JSON of the tokenizers library: NFC and lower case, a split
@@ -168,15 +169,20 @@ class Vocabulary:
         else:
             tokenize = self.tokenizer.model.tokenize
             self.encode_word = lambda word: [t.id for t in tokenize(word)]
+        # Words met since the last turn of the cache, and those of the turn before.
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
 
     def _word(self, word: str) -> bytes:
         ids = self.words.get(word)
         if ids is None:
             if len(self.words) > CACHE_ENTRIES:
-                self.words.clear()
-            ids = self.words[word] = np.asarray(self.encode_word(word), "<u4").tobytes()
+                self.words, self.older = {}, self.words
+            ids = self.older.get(word)
+            if ids is None:
+                ids = np.array(self.encode_word(word), "<u4").tobytes()
+            self.words[word] = ids
         return ids
 
     def _ordinary(self, text: str) -> bytes:
@@ -207,20 +213,37 @@ class Vocabulary:
                 self.chunks[text] = ids
         return ids
 
+    def _plain_chunks(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all chunks in a row, number of ids of each); for chunks of ``_PLAIN`` letters without special tokens."""
+        spaced = pc.replace_substring_regex(pc.utf8_lower(chunks), f"({_PLAIN_WORDS.pattern})", r"\1 ")
+        parts = pc.ascii_split_whitespace(pc.ascii_rtrim(spaced, " "))
+        coded = pc.list_flatten(parts).dictionary_encode()
+        words = (w if w.isascii() else w.translate(self.letters) for w in coded.dictionary.to_pylist())
+        flat, ends = _laid_out([self._word(w) if w else b"" for w in words], coded.indices)
+        return flat, np.diff(np.concatenate([[0], ends])[parts.offsets.to_numpy() - parts.offsets[0].as_py()])
+
+    def _chunks(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, where those of each chunk start, how many it has)."""
+        plain = pc.match_substring_regex(chunks, f"^{_PLAIN.pattern}$")
+        plain = pc.and_not(plain, pc.match_substring_regex(chunks, self.special.pattern)) if self.special_ids else plain
+        found = list(map(self.chunk, chunks.filter(pc.invert(plain)).to_pylist()))
+        flat, sizes_of_plain = self._plain_chunks(chunks.filter(plain))
+        plain = plain.to_numpy(zero_copy_only=False)
+        sizes = np.empty(len(chunks), np.int64)
+        sizes[plain] = sizes_of_plain
+        sizes[~plain] = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        starts = np.empty(len(chunks), np.int64)
+        starts[plain] = np.cumsum(sizes_of_plain) - sizes_of_plain
+        starts[~plain] = len(flat) + np.cumsum(sizes[~plain]) - sizes[~plain]
+        return np.concatenate([flat, np.frombuffer(b"".join(found), "<u4")]), starts, sizes
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, offsets of each text and the end); null is empty."""
         parts = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
         coded = pc.list_flatten(parts).dictionary_encode()
-        found = list(map(self.chunk, coded.dictionary.to_pylist()))
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        starts = np.cumsum(sizes) - sizes
-        codes = coded.indices.to_numpy(zero_copy_only=False)
-        flat = np.frombuffer(b"".join(found), "<u4")
-        each = sizes[codes]
-        ends = np.cumsum(each)
-        places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[codes] - (ends - each), each)
+        flat, ends = _gathered(*self._chunks(coded.dictionary), coded.indices)
         bounds = parts.offsets.to_numpy() - parts.offsets[0].as_py()
-        return flat[places], np.concatenate([[0], ends])[bounds]
+        return flat, np.concatenate([[0], ends])[bounds]
 
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
         """Tokens of each text joined by blanks, as the library does without a decoder."""
@@ -228,6 +251,20 @@ class Vocabulary:
         return pc.binary_join(pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), tokens), pa.scalar(" ", pa.large_string()))
 
 
+def _gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, indices: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of the items numbered in ``indices``, in their order; where those of each end)."""
+    codes = indices.to_numpy(zero_copy_only=False)
+    each = sizes[codes]
+    ends = np.cumsum(each)
+    places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[codes] - (ends - each), each)
+    return flat[places], ends
+
+
+def _laid_out(found: list[bytes], indices: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+    return _gathered(np.frombuffer(b"".join(found), "<u4"), np.cumsum(sizes) - sizes, sizes, indices)
+
+
 def _byte_letters() -> list[str]:
     """The printable letter of each byte: itself, or the next free one from 256 on."""
     printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -567,3 +568,19 @@ def test_pieces_of_long_lines_carry_the_simhash(spark):
     nodes = line_dedup.described(keyed(docs, "doc_id", "text"), line_dedup.SHORT).withColumn("node", F.col("h1"))
     keys = line_dedup._block_keys(nodes, line_dedup.SHORT)
     assert keys.count() > 2 * line_dedup.BLOCKS and keys.where("sim is null").count() == 0
+
+
+@pytest.mark.parametrize("method", ["library", "backtracking"])
+def test_words_stay_known_when_the_cache_turns(monkeypatch, method):
+    """Plain and odd chunks of one slice get the ids of the library, and a frequent word is encoded once."""
+    words = bpe.Vocabulary(bpe.WORD_BPE, method)
+    monkeypatch.setattr(bpe, "CACHE_ENTRIES", 3)
+    inner, asked = words.encode_word, []
+    words.encode_word = lambda word: asked.append(word) or inner(word)
+    texts = [f"Frequent one{chr(97 + n)}x two{chr(97 + n)}y" for n in range(6)]
+    texts += ["", None, " \t ", " a ", "don't DON'T it's7a!b <|endoftext|>x <|ENDOFTEXT|> 東京, Größe×2 É\x01é \x1f ÷", "İstanbul ŐŰ ﬁx " + "aé1" * 30]
+    for text in texts:
+        ids, offsets = words.encode(pa.array([text, "x", text]))
+        for n, one in enumerate([text, "x", text]):
+            assert ids[offsets[n] : offsets[n + 1]].tolist() == words.tokenizer.encode(one or "", add_special_tokens=False).ids
+    assert asked.count("frequent") == 1
