@@ -584,3 +584,21 @@ def test_words_stay_known_when_the_cache_turns(monkeypatch, method):
         for n, one in enumerate([text, "x", text]):
             assert ids[offsets[n] : offsets[n + 1]].tolist() == words.tokenizer.encode(one or "", add_special_tokens=False).ids
     assert asked.count("frequent") == 1
+
+
+def test_lines_of_a_large_group_are_not_all_compared(spark, monkeypatch):
+    """Lines that share a long passage behind another beginning: neighbours connect most before all others are compared."""
+    rng = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda: "".join(rng.choices(letters, k=rng.randint(2, 7)))
+    passage = " ".join(word() for _ in range(60))
+    rows = [(n, " ".join([word() for _ in range(n % 8)] + [passage])) for n in range(160)]
+    inner, given = line_dedup._links, []
+    monkeypatch.setattr(line_dedup, "_links", lambda pairs, *rest: given.append(pairs.count()) or inner(pairs, *rest))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2)
+    found = {r.doc_id: r.n_removed for r in line_dedup.summarise(df).collect()}
+    monkeypatch.setattr(line_dedup, "ROUNDS", 0)
+    now = sum(given)
+    given.clear()
+    assert found == {r.doc_id: r.n_removed for r in line_dedup.summarise(df).collect()}
+    assert now < sum(given)
