@@ -602,3 +602,38 @@ def test_lines_of_a_large_group_are_not_all_compared(spark, monkeypatch):
     given.clear()
     assert found == {r.doc_id: r.n_removed for r in line_dedup.summarise(df).collect()}
     assert now < sum(given)
+
+
+def test_lines_without_links_make_no_rows(spark, monkeypatch):
+    """Lines that share a long passage behind other beginnings, too far apart for a link: compared, not listed as pairs."""
+    rng = random.Random(11)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda: "".join(rng.choices(letters, k=rng.randint(2, 7)))
+    passage = " ".join(word() for _ in range(60))
+    begin = [" ".join(word() for _ in range(17)) for _ in range(80)]
+    rows = [(n, f"{b} {passage}") for n, b in enumerate(begin)] + [(80, f"{begin[70]}s {passage}")]
+    inner, given = line_dedup._links, []
+    monkeypatch.setattr(line_dedup, "_links", lambda pairs, *rest: given.append(pairs.count()) or inner(pairs, *rest))
+    monkeypatch.setattr(line_dedup, "TILE", 16, raising=False)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2)
+    for rounds in (1, 0):
+        monkeypatch.setattr(line_dedup, "ROUNDS", rounds)
+        given.clear()
+        assert {r.doc_id for r in line_dedup.summarise(df).where("n_removed > 0").collect()} == {80}
+        # 80 lines make 3160 pairs; neighbours of three orders in a few blocks are some hundreds.
+        assert given[-1] <= 1 and sum(given) < 1200, given
+
+
+def test_rows_without_partner_end_and_twin_blocks_are_one(spark):
+    """A row stays where another one of its block is near by length and SimHash; blocks of the same rows are one."""
+    far = (1 << 40) - 1
+    block = {1: (100, 0), 2: (105, far), 3: (108, 3), 4: (300, 0), 5: (310, far), 6: (900, 0)}
+    keys = [(b, n, c, s) for b in (1 << 40, 1 << 41) for n, (c, s) in block.items()] + [(7, 1, 100, 0), (7, 3, 108, 3)]
+    keys = spark.createDataFrame(keys, "block bigint, node bigint, chars int, sim bigint")
+    left = line_dedup._with_partners(keys, F.struct("node", "chars", "sim"), 90)
+    found = {(r.block, r.node) for r in left.collect()}
+    # 1 and 3 are alike, with 2 between them; 4 and 5 have only each other.
+    assert {(b, n) for b in (1 << 40, 1 << 41) for n in (1, 3)} | {(7, 1), (7, 3)} <= found
+    assert not {n for _, n in found} & {4, 5, 6} and {r.a.node for r in left.collect()} == {1}
+    once = line_dedup._without_twins(left)
+    assert {r.block for r in once.collect()} == {7, 1 << 40} and once.columns == left.columns
