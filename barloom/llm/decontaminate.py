@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import KEY, broadcast_if_small, keyed, lower_ascii, packed, sha256_hex, sliding, stored, unpacked, with_once, words_of
+from .common import KEY, broadcast_if_small, keyed, lower_ascii, packed, sha256_hex, sliding, stored, temporary, unpacked, with_once, words_of
 
 SPAN = 10
 K = 5
@@ -179,7 +179,8 @@ def mark_contaminated(documents: DataFrame, benchmark: DataFrame, doc_id: str =
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **names) -> DataFrame:
     """``documents`` without those that share a span with the benchmark; same columns."""
-    found = stored(_contamination(documents, benchmark, doc_id, text, **names).where("n_hit > 0").select(*KEY))
+    with temporary(documents.sparkSession) as keep:
+        found = keep(stored(_contamination(documents, benchmark, doc_id, text, **names).where("n_hit > 0").select(*KEY)))
     left = packed(documents, doc_id, text).join(broadcast_if_small(found, found.count()), KEY, "left_anti")
     return left.select(*unpacked(documents.columns))
 

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from .bpe import slices
-from .common import KEY, broadcast_if_small, keyed, packed, stored, unpacked
+from .common import KEY, broadcast_if_small, keyed, packed, release, stored, temporary, unpacked
 from .graph import components
 
 WORDS = 5
@@ -400,7 +400,8 @@ def near_duplicates(
     n_classes = classes.count()
     chosen = docs.select(*KEY, "body").join(broadcast_if_small(classes.select(*KEY, "node"), n_classes), KEY).select("body", "node")
     tokens = _candidates(chosen, table, words, percent, bucket_bits)
-    tiles = stored(_tiles(stored(_groups(tokens)), percent, tile))
+    with temporary(docs.sparkSession) as keep:
+        tiles = keep(stored(_tiles(stored(_groups(tokens)), percent, tile)))
 
     def decided(rows: DataFrame) -> DataFrame:
         """Links within tiles of sets: rows gid, low, high, part, node, root."""
@@ -408,9 +409,12 @@ def near_duplicates(
         lists = stored(lists.join(classes.select("node", *KEY), "node"))
         texts = docs.select(*KEY, "body").join(broadcast_if_small(lists, lists.count()), KEY)
         # Repeated rows have the same key.
-        return stored(_verified(texts.select("body", "node", "tiles"), words, percent).distinct())
+        links = stored(_verified(texts.select("body", "node", "tiles"), words, percent).distinct())
+        release(lists)
+        return links
 
     proposed = stored(_proposed(_with_maps(tiles, classes), percent))
+    release(tiles)
     pairs = proposed.where("a is not null").select("a", "b").distinct()
     heads = pairs.groupBy("b").agg(F.ceil(F.count("*") / PARTNERS).cast("bigint").alias("runs"))
     pairs = stored(pairs.join(heads, "b").select("a", "b", F.pmod(F.xxhash64("a"), "runs").alias("low")))
@@ -421,6 +425,7 @@ def near_duplicates(
     left = proposed.where("a is null").drop("a", "b").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = left.groupBy("gid", "low", "high").agg(F.min("root").alias("one"), F.max("root").alias("two")).where("one <> two")
     left = stored(left.join(mixed.select("gid", "low", "high"), ["gid", "low", "high"]))
+    release(pairs, proposed)
     more = decided(stored(_apart(_with_maps(left, classes), percent, chunk)))
     if not more.isEmpty():
         roots = stored(components(links.union(more)))
@@ -438,7 +443,8 @@ def keep_one(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", *
     Same columns. Documents without words link with nothing and stay; of repeated rows
     one stays.
     """
-    found = stored(near_duplicates(documents, doc_id, text, **options))
+    with temporary(documents.sparkSession) as keep:
+        found = keep(stored(near_duplicates(documents, doc_id, text, **options)))
     least = F.min(F.struct("doc_id", *KEY))
     kept = found.where("n_shingles > 0 and component_id is not null").groupBy("component_id").agg(least.alias("kept")).select("kept.*")
     rest = found.where("n_shingles = 0 or component_id is null").select("doc_id", *KEY).distinct()

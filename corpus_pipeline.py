@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from barloom.llm import bpe, decontaminate, jaccard, line_dedup, quality
-from barloom.llm.common import read_table, stored
+from barloom.llm.common import read_table, release, stored, temporary
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,5 +52,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir))
+        before = docs
+        with temporary(spark) as keep:
+            docs = keep(stored(stage(spark, before, sf_dir)))
+        release(before)
     return STAGES[-1][1](spark, docs, sf_dir)
