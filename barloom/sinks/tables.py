@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -10,12 +11,17 @@ from pyspark.sql.utils import AnalysisException
 
 from barloom import schemas as S
 from barloom.operators.dedupe import keep_first, new_keys
-from barloom.session import scratch_dir
+from barloom.session import delete_folder, scratch_dir, written_once
 from barloom.sources.tables import YEAR, read_prices
 
 # Files of a year partition are cut by symbol and day, so both prune row groups.
 _WITHIN = ["SYMBOL", "DATE1"]
 
+# A large batch is appended by years, so many at once as make up these rows.
+_CHUNK_ROWS = 2_000_000
+# Smaller than the default, for a little more time.
+_CODEC = {"compression": "zstd"}
+
 
 def _by_year(df: DataFrame) -> DataFrame:
     """Rows spread so that each year goes to few files and no file grows without bound.
@@ -32,7 +38,8 @@ def _by_year(df: DataFrame) -> DataFrame:
 
 def write_prices(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write a price table partitioned by year. Overwriting makes a repeated run harmless."""
-    _by_year(df).write.mode(mode).partitionBy(YEAR).parquet(path)
+    with written_once(df.sparkSession):
+        _by_year(df).write.mode(mode).options(**_CODEC).partitionBy(YEAR).parquet(path)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -50,23 +57,53 @@ def append_prices(spark: SparkSession, path: str, batch: DataFrame, keys: list[s
     """Append the rows of ``batch`` whose key the stored price table lacks.
 
     The batch's plan runs once: it is written below the checkpoint folder, and its span of days is
-    observed while that happens. Then the new keys are taken from those files. Only the
-    years and days of the batch are read from the table. Running it again with the same batch
-    adds nothing.
+    observed while that happens. Then the new keys are taken from those files, which are deleted at the end. Only the
+    years and days of the batch are read from the table. A large batch whose keys hold the day is
+    appended some years at a time, so that only these are shuffled at once. Running it again with the same batch
+    adds nothing, also after one that ended between two years.
     """
     keys = keys or S.PRICE_KEY
     seen, staged = Observation(), scratch_dir(spark)
     batch = batch.dropna(subset=keys)
-    batch.observe(seen, F.min("DATE1").alias("lo"), F.max("DATE1").alias("hi")).write.parquet(staged)
-    span, batch = seen.get, spark.read.schema(batch.schema).parquet(staged)
-    if span["lo"] is None:
-        return
-    if not exists(spark, path):
+    schema = batch.schema
+    batch = batch.observe(seen, F.min("DATE1").alias("lo"), F.max("DATE1").alias("hi"))
+    by_day = "DATE1" in keys
+    writer = (batch.withColumn(YEAR, F.year("DATE1")) if by_day else batch).write.options(**_CODEC)
+    try:
+        with written_once(spark):
+            (writer.partitionBy(YEAR) if by_day else writer).parquet(staged)
+        span = seen.get
+        if span["lo"] is None:
+            return
         # Appending also makes the table, and spares rows of a writer that came in between.
-        write_prices(keep_first(batch, keys), path, mode="append")
-        return
-    target = read_prices(spark, path, start=str(span["lo"]), end=str(span["hi"]))
-    write_prices(new_keys(target, batch, keys), path, mode="append")
+        fresh = not exists(spark, path)
+        for files, lo, hi in _years_together(spark, staged, span["lo"], span["hi"]) if by_day else [([staged], span["lo"], span["hi"])]:
+            rows = spark.read.schema(schema).parquet(*files)
+            if fresh:
+                rows = keep_first(rows, keys)
+            else:
+                rows = new_keys(read_prices(spark, path, start=str(lo), end=str(hi)), rows, keys)
+            write_prices(rows, path, mode="append")
+            for folder in files:
+                delete_folder(spark, folder)
+    finally:
+        delete_folder(spark, staged)
+
+
+def _years_together(spark: SparkSession, staged: str, lo: dt.date, hi: dt.date) -> list[tuple[list[str], dt.date, dt.date]]:
+    """(folders, first day, last day) of years of a staged batch that are appended together; one row a year comes to the driver."""
+    counts = spark.read.parquet(staged).groupBy(YEAR).count().orderBy(YEAR).collect()
+    chunks, held = [], 0
+    for year, n in counts:
+        if not chunks or held + n > _CHUNK_ROWS:
+            chunks.append([])
+            held = 0
+        chunks[-1].append(year)
+        held += n
+    return [
+        ([f"{staged}/{YEAR}={y}" for y in years], max(lo, dt.date(years[0], 1, 1)), min(hi, dt.date(years[-1], 12, 31)))
+        for years in chunks
+    ]
 
 
 def append_ignore(spark: SparkSession, path: str, batch: DataFrame, keys: list[str]) -> None:
