@@ -24,7 +24,7 @@ from barloom.operators.consolidate import (
     ordered_prices,
     price_table,
 )
-from barloom.operators.dedupe import keep_first, new_keys
+from barloom.operators.dedupe import distinct_rows, keep_first, new_keys
 from barloom.operators.history import (
     check_history_files,
     clean_history,

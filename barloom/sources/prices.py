@@ -39,14 +39,14 @@ def read_legacy_prices(
 
 
 def read_full_prices(
-    spark: SparkSession, paths: Paths, header: Sequence[str] | None = None
+    spark: SparkSession, paths: Paths, header: Sequence[str] | None = None, glob: str = FULL_GLOB
 ) -> DataFrame:
     """Full daily price format as text, from directories or from a list of files.
 
     A file without the key columns in its header, in their exact letter case, is an error.
     """
     return read_csv_by_name(
-        spark, paths, S.PRICES.fieldNames(), required=S.PRICE_KEY, header=header, pathGlobFilter=FULL_GLOB
+        spark, paths, S.PRICES.fieldNames(), required=S.PRICE_KEY, header=header, pathGlobFilter=glob
     )
 
 
