@@ -585,17 +585,17 @@ def store_actions_by_key(t: Tables) -> DataFrame:
 @query
 def stream_full_prices_loaded(t: Tables) -> DataFrame:
     """Full-format files loaded by the streaming job; one micro-batch takes them all."""
-    source, target = _csv(t, t.full_raw), scratch_dir(t.spark)
-    stream_full_prices(t.spark, source, target, checkpoint=scratch_dir(t.spark)).awaitTermination()
+    source, target = _csv(t, t.full_raw, **_PACKED), scratch_dir(t.spark)
+    stream_full_prices(t.spark, source, target, checkpoint=scratch_dir(t.spark), glob=_PACKED_GLOB).awaitTermination()
     return sources.read_prices(t.spark, target)
 
 
 @query
 def stream_reject_report(t: Tables) -> DataFrame:
     """What the streaming job left out, by reason; the second run finds no new file."""
-    source, target, progress = _csv(t, t.full_raw), scratch_dir(t.spark), scratch_dir(t.spark)
+    source, target, progress = _csv(t, t.full_raw, **_PACKED), scratch_dir(t.spark), scratch_dir(t.spark)
     for _ in range(2):
-        stream_full_prices(t.spark, source, target, checkpoint=progress).awaitTermination()
+        stream_full_prices(t.spark, source, target, checkpoint=progress, glob=_PACKED_GLOB).awaitTermination()
     return read_stream_rejects(t.spark, target).groupBy("reason").agg(F.sum("rows").alias("rows"))
 
 

@@ -13,6 +13,7 @@ from barloom.operators.quality import rejects
 from barloom.sinks.exports import append_log, read_log
 from barloom.sinks.tables import append_prices
 from barloom.sources.files import SOURCE_FILE, file_name
+from barloom.sources.prices import FULL_GLOB
 
 
 REJECTS = "SOURCE_FILE string, reason string, rows bigint"
@@ -35,6 +36,7 @@ def stream_full_prices(
     checkpoint: str | None = None,
     max_files: int | None = None,
     reject_log: str | None = None,
+    glob: str = FULL_GLOB,
 ) -> StreamingQuery:
     """Load every file that is new in ``source`` into the price table, then stop.
 
@@ -51,7 +53,7 @@ def stream_full_prices(
         enforceSchema=False,
         ignoreLeadingWhiteSpace=True,
         ignoreTrailingWhiteSpace=True,
-        pathGlobFilter="*.csv",
+        pathGlobFilter=glob,
     )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)

@@ -1,14 +1,17 @@
 """Stored tables, exports, the streaming load and whole jobs, in temporary folders."""
 
 import datetime as dt
+import uuid
 
 import pytest
 
 from barloom import operators as ops
 from barloom import schemas as S
 from barloom import sinks, sources
-from barloom.plans import jobs
+from barloom.operators import dedupe
+from barloom.plans import jobs, registry
 from barloom.session import checkpoint_dir
+from barloom.sinks import tables
 from barloom.streaming import stream_full_prices
 
 D = dt.date
@@ -221,3 +224,59 @@ def test_other_failures_are_not_absence(spark, tmp_path):
     with pytest.raises(Exception):
         sinks.append_prices(spark, str(tmp_path / "t"), prices(spark, ("A", D(2024, 5, 1), 9.0)))
     assert (tmp_path / "t" / "part-0.parquet").read_text() == "no parquet"
+
+
+@pytest.mark.parametrize("rows_together", [1, 10])
+def test_large_batches_are_appended_by_years(spark, tmp_path, monkeypatch, rows, rows_together):
+    """No two chunks of years are shuffled at once, and the staged batch goes; the rows are the same."""
+    written, staged = [], tmp_path / "staged"
+    monkeypatch.setattr(tables, "_CHUNK_ROWS", rows_together)
+    monkeypatch.setattr(tables, "scratch_dir", lambda spark: str(staged))
+    write = tables.write_prices
+    monkeypatch.setattr(tables, "write_prices", lambda df, path, mode="overwrite": (written.append(path), write(df, path, mode)))
+    days = [("A", D(y, m, 1), float(y + m)) for y in (1999, 2001, 2024) for m in (1, 12)]
+    old, fresh = str(tmp_path / "old"), str(tmp_path / "fresh")
+    write(prices(spark, ("A", D(2001, 12, 1), 1.0), ("B", D(1999, 6, 1), 1.0)), old)
+    for path, chunks in ((old, 3), (old, 3), (fresh, 3)):
+        written.clear()
+        sinks.append_prices(spark, path, prices(spark, *days, *days, ("A", None, 5.0)))
+        assert len(written) == (chunks if rows_together == 1 else 1)
+        assert not staged.exists()
+    new = sorted((s, d, c) for s, d, c in days)
+    assert rows(sources.read_prices(spark, fresh), "SYMBOL", "DATE1", "CLOSE_PRICE") == new
+    kept = [r if r[1] != D(2001, 12, 1) else (*r[:2], 1.0) for r in new] + [("B", D(1999, 6, 1), 1.0)]
+    assert rows(sources.read_prices(spark, old), "SYMBOL", "DATE1", "CLOSE_PRICE") == kept
+
+
+def test_append_by_another_key_takes_all_years_at_once(spark, tmp_path, monkeypatch, rows):
+    monkeypatch.setattr(tables, "_CHUNK_ROWS", 1)
+    path = str(tmp_path / "t")
+    sinks.append_prices(spark, path, prices(spark, ("A", D(2020, 1, 1), 1.0), ("A", D(2021, 1, 1), 2.0)), keys=["SYMBOL"])
+    assert len(rows(sources.read_prices(spark, path), "SYMBOL")) == 1
+
+
+@pytest.mark.parametrize("most", [0, 5])
+def test_distinct_rows(spark, tmp_path, monkeypatch, rows, most):
+    monkeypatch.setattr(dedupe, "REPEATED", most)
+    monkeypatch.setattr(dedupe, "scratch_dir", lambda spark: str(tmp_path / uuid.uuid4().hex))
+    # Of the first two rows the null stands elsewhere, which a fingerprint does not tell.
+    data = [("a", None), (None, "a"), ("b", "c"), ("b", "c"), ("b ", "c"), (None, None), (None, None), ("d", "e")]
+    df = spark.createDataFrame(data, "`x.1` string, y string").repartition(3)
+    found = sorted((tuple(r) for r in ops.distinct_rows(df).collect()), key=str)
+    assert found == sorted(set(data), key=str)
+    single = spark.createDataFrame([("a", "b"), ("c", "d")], "x string, y string")
+    assert ops.distinct_rows(single) is single
+
+
+@pytest.mark.parametrize("name", ["files_full_prices", "stream_full_prices_loaded", "stream_reject_report"])
+def test_written_files_take_little_disk(spark, tmp_path, monkeypatch, name):
+    """Text is packed, and staged batches are gone when the query returns."""
+    for module in (registry, tables, dedupe):
+        monkeypatch.setattr(module, "scratch_dir", lambda spark: str(tmp_path / uuid.uuid4().hex))
+    found = registry.QUERIES[name](spark, "/root/testdata/sf0.001")
+    names = [p.name for p in tmp_path.rglob("part-*") if p.stat().st_size]
+    assert any(n.endswith(".csv.gz") for n in names)
+    assert not [p for p in tmp_path.iterdir() if list(p.glob("YEAR=*")) and not list(p.glob("_SUCCESS"))]
+    stores = [p for p in tmp_path.iterdir() if list(p.rglob("YEAR=*"))]
+    assert len(stores) == (0 if name == "files_full_prices" else 1)
+    assert found.count() > 0
