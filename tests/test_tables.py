@@ -226,7 +226,7 @@ def test_other_failures_are_not_absence(spark, tmp_path):
     assert (tmp_path / "t" / "part-0.parquet").read_text() == "no parquet"
 
 
-@pytest.mark.parametrize("rows_together", [1, 10])
+@pytest.mark.parametrize("rows_together", [1, 100])
 def test_large_batches_are_appended_by_years(spark, tmp_path, monkeypatch, rows, rows_together):
     """No two chunks of years are shuffled at once, and the staged batch goes; the rows are the same."""
     written, staged = [], tmp_path / "staged"
